@@ -5,6 +5,8 @@ Each document is parsed once to a variant; the type tests and look-ups then work
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,18 @@ ARRAY = "array<variant>"
 OBJECT = "map<string,variant>"
 
 
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is worked out a single time, however often ``fn`` names it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def parse(json_col: Column | str) -> Column:
     """The document as a variant; null unless the whole text is one JSON value.
 
     The parser stops after the first value, so the text is read as the only element of a list.
     """
     listed = _array(F.try_parse_json(F.concat(F.lit("["), json_col, F.lit("]"))))
-    return F.when(F.size(listed) == 1, listed[0])
+    return once(listed, lambda found: F.when(F.size(found) == 1, found[0]))
 
 
 def _array(doc: Column, path: str = "$") -> Column:
@@ -35,33 +42,42 @@ def _object(doc: Column, path: str = "$") -> Column:
     return F.try_variant_get(doc, path, OBJECT)
 
 
+def _length(list_: Column) -> Column:
+    """Length of a list; null for null."""
+    return F.array_size(list_).cast("bigint")
+
+
 def _total_length(members: Column) -> Column:
-    """Summed length of those values of an object that are lists."""
+    """Summed length of those values of an object that are lists; null for null."""
     return F.aggregate(
         F.map_values(members),
         F.lit(0).cast("bigint"),
-        lambda total, value: total + F.coalesce(F.size(_array(value)), F.lit(0)).cast("bigint"),
+        lambda total, value: total + F.coalesce(_length(_array(value)), F.lit(0).cast("bigint")),
     )
 
 
-def _length(list_: Column) -> Column:
-    return F.when(list_.isNotNull(), F.size(list_).cast("bigint"))
+def _held(value: Column) -> Column:
+    return F.coalesce(_length(_array(value)), _total_length(_object(value)))
 
 
 def record_count(json_col: Column | str) -> Column:
     """Best-effort number of records in a JSON text; null when the text is not JSON."""
-    doc = parse(json_col)
-    held = []
-    for key in COUNT_KEYS:
-        inner = _object(doc, f"$.{key}")
-        held += [_length(_array(doc, f"$.{key}")), F.when(inner.isNotNull(), _total_length(inner))]
-    return F.when(doc.isNotNull(), F.coalesce(_length(_array(doc)), *held, F.lit(1).cast("bigint")))
+
+    def inside(members: Column) -> Column:
+        return F.coalesce(*[once(F.try_element_at(members, F.lit(key)), _held) for key in COUNT_KEYS])
+
+    def counted(doc: Column) -> Column:
+        found = F.coalesce(_length(_array(doc)), once(_object(doc), inside), F.lit(1).cast("bigint"))
+        return F.when(doc.isNotNull(), found)
+
+    return once(parse(json_col), counted)
 
 
 def _filled(value: Column) -> Column:
     """False for null, false, zero and empty text, lists and objects."""
     text = F.to_json(value)
-    return text.isNotNull() & ~text.isin("null", "false", '""', "[]", "{}") & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
+    scalar = ~text.isin("null", "false", '""') & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
+    return F.coalesce(F.array_size(_array(value)) > 0, F.size(F.map_keys(_object(value))) > 0, scalar, F.lit(False))
 
 
 def unwrap_rows(df: DataFrame, json_col: str, row_schema: str) -> DataFrame:
@@ -70,17 +86,16 @@ def unwrap_rows(df: DataFrame, json_col: str, row_schema: str) -> DataFrame:
     A list holds its records; an object holds them under the first filled key of ``ROW_KEYS`` or is
     itself the record. Bare values and text that is not JSON give no rows.
     """
-    doc = F.col("_doc")
-    member = [F.try_variant_get(doc, f"$.{key}", "variant") for key in ROW_KEYS]
-    held = F.coalesce(*[F.when(_filled(m), m) for m in member], doc)
-    inner = F.when(_array(doc).isNotNull(), doc).when(_object(doc).isNotNull(), held)
+
+    def inner(doc: Column) -> Column:
+        held = [once(F.try_variant_get(doc, f"$.{k}", "variant"), lambda m: F.when(_filled(m), m)) for k in ROW_KEYS]
+        return F.when(_array(doc).isNotNull(), doc).when(_object(doc).isNotNull(), F.coalesce(*held, doc))
+
+    records = once(once(parse(json_col), inner), lambda found: F.coalesce(_array(found), F.array(found)))
     return (
-        df.withColumn("_doc", parse(json_col))
-        .withColumn("_inner", inner)
-        .filter(F.col("_inner").isNotNull())
-        .withColumn("_row", F.explode(F.coalesce(_array(F.col("_inner")), F.array("_inner"))))
-        .withColumn("row", F.from_json(F.to_json("_row"), row_schema))
-        .drop("_doc", "_inner", "_row")
+        df.withColumn("_row", F.explode(F.filter(records, lambda r: r.isNotNull())))
+        .withColumn("row", F.try_variant_get("_row", "$", f"struct<{row_schema}>"))
+        .drop("_row")
     )
 
 
@@ -113,11 +128,12 @@ def wrap_envelope(
     )
     body = F.regexp_replace(payload, r"[\r\n]+", " ")
     text = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"data":'), body, F.lit("}"))
-    whole = F.size(_object(F.try_parse_json(text))) == len(ENVELOPE_KEYS)
+    whole = F.size(F.map_keys(_object(F.try_parse_json("_text")))) == len(ENVELOPE_KEYS)
     return (
         df.withColumn("record_count", record_count(payload))
-        .withColumn("_head", head)
-        .withColumn("envelope", F.when(F.col("record_count").isNotNull() & whole, text))
+        .withColumn("_head", F.when(F.col("record_count").isNotNull(), head))
+        .withColumn("_text", text)
+        .withColumn("envelope", F.when(whole, F.col("_text")))
         .withColumn("status", F.when(F.col("envelope").isNull(), "failed").otherwise("success"))
-        .drop("_head")
+        .drop("_head", "_text")
     )

@@ -14,6 +14,7 @@ from strata.operators.clean import dedup_latest, enforce_schema, exact_quantiles
 from strata.operators.flatten import explode_parallel
 from strata.operators.series import flags, rolling
 from strata.schemas import HOURLY_CLEANED
+from strata.session import stage
 
 KEYS = ["date", "hour", "source"]
 ARRAYS = {
@@ -64,6 +65,7 @@ def clean(envelopes: DataFrame, null_policy: str = "drop") -> tuple[DataFrame, D
     good, rejected = enforce_schema(typed(flatten(envelopes)), HOURLY_CLEANED)
     kept = dedup_latest(range_filter(good, RANGES, null_policy), KEYS, newest_first())
     if null_policy == "keep":
+        kept = stage(kept, "deduplicated")  # the medians read it twice before it is filled
         kept = impute(kept, DEFAULTS, exact_quantiles(kept, MEDIAN_FILLED))
     return kept, rejected
 

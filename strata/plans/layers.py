@@ -15,7 +15,7 @@ from strata.operators.runs import count_checks, freshness_check, no_files
 from strata.params import QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
-from strata.session import scratch_dir
+from strata.session import stage
 from strata.sinks.tables import observed, write_cleaned, write_curated
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
@@ -40,9 +40,7 @@ def promote(df: DataFrame, suite: Suite, write: Callable[[DataFrame], None], sta
     final write read it from there instead of each working it out again.
     """
     if staged:
-        path = scratch_dir(df.sparkSession, "staged")
-        df.write.parquet(path)
-        df = df.sparkSession.read.parquet(path)
+        df = stage(df, "staged")
     report = suite.run(df)
     if report.failed:
         raise QualityGateError(report)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.dates import HOURLY_FORMAT, calendar_parts, date_path, parse_ts, partition_parts
 from strata.functions.numeric import rnd
@@ -22,15 +21,14 @@ from strata.registry.views import (
     HOURLY_ROWS,
     RATES,
     READINGS,
-    hourly_documents,
-    parsed,
-    price_documents,
+    landed_hourly,
+    landed_prices,
     rates,
     readings,
     sql_rnd,
     table,
 )
-from strata.schemas import HOURLY_PAYLOAD, PRICE_PAYLOAD, envelope
+from strata.schemas import DATE, DOUBLE, INT, LONG, struct
 
 TIME_TEXT = "CASE WHEN event_id % 41 = 0 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%dT%H:%M') END"
 
@@ -186,7 +184,7 @@ def median_impute_by_source(spark, sf_dir):
     return impute(rows, hourly_plan.DEFAULTS, medians, by=["source"]).select(*READING_COLUMNS)
 
 
-SCHEMA = T.StructType.fromDDL("event_id bigint not null, date date not null, hour int not null, reading double")
+SCHEMA = struct(("event_id", "date", "hour"), event_id=LONG, date=DATE, hour=INT, reading=DOUBLE)
 
 
 @query(
@@ -219,7 +217,7 @@ def schema_enforce(spark, sf_dir):
       windspeed_kmh FROM flat""",
 )
 def flatten_hourly(spark, sf_dir):
-    return hourly_plan.flatten(parsed(hourly_documents(spark, sf_dir), envelope(HOURLY_PAYLOAD)))
+    return hourly_plan.flatten(landed_hourly(spark, sf_dir))
 
 
 TYPED_HOURLY = f"""{HOURLY_ROWS}, typed AS (
@@ -240,7 +238,7 @@ LATEST_HOUR = """QUALIFY row_number() OVER (PARTITION BY date, hour, source ORDE
     WHERE temperature_c BETWEEN -89 AND 57 AND windspeed_kmh >= 0 AND precipitation_mm >= 0 {LATEST_HOUR}""",
 )
 def cleaned_hourly(spark, sf_dir):
-    return hourly_plan.clean(parsed(hourly_documents(spark, sf_dir), envelope(HOURLY_PAYLOAD)))[0]
+    return hourly_plan.clean(landed_hourly(spark, sf_dir))[0]
 
 
 @query(
@@ -254,7 +252,7 @@ def cleaned_hourly(spark, sf_dir):
       ingested_at, execution_date FROM kept, m""",
 )
 def cleaned_hourly_imputed(spark, sf_dir):
-    return hourly_plan.clean(parsed(hourly_documents(spark, sf_dir), envelope(HOURLY_PAYLOAD)), "keep")[0]
+    return hourly_plan.clean(landed_hourly(spark, sf_dir), "keep")[0]
 
 
 @query(
@@ -269,4 +267,4 @@ def cleaned_hourly_imputed(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY date ORDER BY landed DESC, rate_usd DESC, description DESC) = 1""",
 )
 def cleaned_price(spark, sf_dir):
-    return price_plan.clean(parsed(price_documents(spark, sf_dir), envelope(PRICE_PAYLOAD)))[0]
+    return price_plan.clean(landed_prices(spark, sf_dir))[0]

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.jsondoc import extract_json, extract_typed, record_count, unwrap_rows, wrap_envelope
 from strata.registry import query
-from strata.registry.views import parsed, price_documents, prop_k, table
-from strata.schemas import PRICE_PAYLOAD, envelope
+from strata.registry.views import landed_prices, prop_k, table
 
 
 @query(
@@ -94,10 +93,9 @@ def json_extract(spark, sf_dir):
 
 @query(
     "struct_extract_typed",
-    """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 29 = 0 THEN -o_totalprice ELSE o_totalprice END AS usd,
+    """SELECT strftime(o_orderdate, '%Y-%m-%d') AS execution_date, CASE WHEN o_orderkey % 29 = 0 THEN -o_totalprice ELSE o_totalprice END AS usd,
       o_orderpriority AS description FROM orders""",
 )
 def struct_extract(spark, sf_dir):
-    documents = parsed(price_documents(spark, sf_dir), envelope(PRICE_PAYLOAD), "o_orderkey")
     fields = {"usd": ("data.bpi.USD.rate_float", "double"), "description": ("data.bpi.USD.description", "string")}
-    return extract_typed(documents, fields).select(F.col("o_orderkey").alias("order_id"), *fields)
+    return extract_typed(landed_prices(spark, sf_dir), fields).select("execution_date", *fields)

@@ -14,14 +14,13 @@ from strata.registry.views import (
     PROCESSED_AT,
     RATES,
     READINGS,
-    hourly_documents,
+    landed_hourly,
     rates,
     readings,
     shipments,
     sql_rnd,
     table,
 )
-from strata.schemas import HOURLY_PAYLOAD
 from strata.session import scratch_dir
 from strata.sinks.tables import write_cleaned, write_curated
 from strata.sources.files import (
@@ -29,7 +28,6 @@ from strata.sources.files import (
     inventory_totals,
     land_csv,
     read_csv_upload,
-    read_envelopes,
     read_layer,
     register,
 )
@@ -56,13 +54,8 @@ def day_stats(df, *by):
     FROM events""",
 )
 def scan_json_envelope(spark, sf_dir):
-    base = scratch_dir(spark, "raw")
-    day = "2024-02-01"
-    hourly_documents(spark, sf_dir).select("envelope").write.option("compression", "gzip").text(
-        f"{base}/weather/2024/02/01"
-    )
-    landed = read_envelopes(spark, base, "weather", day, HOURLY_PAYLOAD, multi_line=False, pattern="*.txt.gz")
-    return landed.filter(F.col("_corrupt_record").isNull()).select(
+    documents = landed_hourly(spark, sf_dir)
+    return documents.filter(F.col("_corrupt_record").isNull()).select(
         "source",
         "ingested_at",
         "execution_date",

@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.dates import HOURLY_FORMAT, folder_of
 from strata.functions.jsondoc import wrap_envelope
 from strata.functions.numeric import rnd
 from strata.operators.monitor import points
+from strata.schemas import HOURLY_PAYLOAD, PRICE_PAYLOAD
+from strata.session import scratch_dir
+from strata.sources.files import read_envelopes
 
 PROCESSED_AT = dt.datetime(2024, 2, 1, 3, 0, 0)
 PROCESSED_SQL = "'2024-02-01 03:00:00'"
@@ -110,12 +114,18 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as one landed document of four hourly readings, some arrays shorter."""
-    k = prop_k().cast("int")
-    slots = F.array(*[F.lit(i) for i in range(4)])
-    time = F.transform(slots, lambda i: F.date_format(F.timestamp_seconds(F.unix_seconds("ts") + i * 3600), "yyyy-MM-dd'T'HH:mm"))
-    temperature = F.transform(slots, lambda i: F.col("value") * 2 - 100 + i)
-    precipitation = F.transform(F.slice(slots, 1, 3), lambda i: k / 10 + i)
-    wind = F.transform(F.when(k % 2 == 0, F.slice(slots, 1, 2)).otherwise(slots), lambda i: F.col("value") * 0.25 + i)
+    k, at = prop_k().cast("int"), F.unix_seconds("ts")
+
+    def slots(n: int, value) -> F.Column:
+        return F.array(*[value(i) for i in range(n)])
+
+    def wind_at(i: int) -> F.Column:
+        return F.col("value") * 0.25 + i
+
+    time = slots(4, lambda i: F.date_format(F.timestamp_seconds(at + i * 3600), HOURLY_FORMAT))
+    temperature = slots(4, lambda i: F.col("value") * 2 - 100 + i)
+    precipitation = slots(3, lambda i: k / 10 + i)
+    wind = F.when(k % 2 == 0, slots(2, wind_at)).otherwise(slots(4, wind_at))
     payload = F.to_json(
         F.struct(
             F.struct(
@@ -152,8 +162,22 @@ def iso_time(ts: str) -> F.Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def parsed(documents: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
-    return documents.withColumn("_e", F.from_json("envelope", schema)).select(*keep, "_e.*")
+LANDED_ON = "2024-02-01"
+
+
+def landed(spark: SparkSession, documents: DataFrame, dataset: str, payload: T.StructType) -> DataFrame:
+    """The documents written to the raw layer, one per line, and read back."""
+    base = scratch_dir(spark, "raw")
+    documents.select("envelope").write.text(f"{base}/{dataset}/{folder_of(LANDED_ON)}")
+    return read_envelopes(spark, base, dataset, LANDED_ON, payload, multi_line=False, pattern="*.txt")
+
+
+def landed_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, hourly_documents(spark, sf_dir), "weather", HOURLY_PAYLOAD)
+
+
+def landed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, price_documents(spark, sf_dir), "crypto", PRICE_PAYLOAD)
 
 
 LAYERS = ("raw", "cleaned", "curated")

@@ -4,22 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+DATE, INT, LONG, DOUBLE, TEXT, TIME = (
+    T.DateType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.DoubleType(),
+    T.StringType(),
+    T.TimestampType(),
+)
+
+
+def struct(required: tuple[str, ...] = (), **fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, type_, name not in required) for name, type_ in fields.items()])
+
+
 # The layouts of the landed documents and the cleaned tables.
-HOURLY_PAYLOAD = T.StructType.fromDDL(
-    "hourly struct<time: array<string>, temperature_2m: array<double>,"
-    " precipitation: array<double>, windspeed_10m: array<double>>"
+HOURLY_PAYLOAD = struct(
+    hourly=struct(
+        time=T.ArrayType(TEXT),
+        temperature_2m=T.ArrayType(DOUBLE),
+        precipitation=T.ArrayType(DOUBLE),
+        windspeed_10m=T.ArrayType(DOUBLE),
+    )
 )
-PRICE_PAYLOAD = T.StructType.fromDDL(
-    "bpi struct<USD: struct<rate_float: double, description: string>,"
-    " GBP: struct<rate_float: double>, EUR: struct<rate_float: double>>"
+PRICE_PAYLOAD = struct(
+    bpi=struct(
+        USD=struct(rate_float=DOUBLE, description=TEXT), GBP=struct(rate_float=DOUBLE), EUR=struct(rate_float=DOUBLE)
+    )
 )
-HOURLY_CLEANED = T.StructType.fromDDL(
-    "date date not null, hour int not null, temperature_c double, precipitation_mm double,"
-    " windspeed_kmh double, source string, ingested_at timestamp, execution_date date"
+HOURLY_CLEANED = struct(
+    ("date", "hour"),
+    date=DATE,
+    hour=INT,
+    temperature_c=DOUBLE,
+    precipitation_mm=DOUBLE,
+    windspeed_kmh=DOUBLE,
+    source=TEXT,
+    ingested_at=TIME,
+    execution_date=DATE,
 )
-PRICE_CLEANED = T.StructType.fromDDL(
-    "date date not null, currency string not null, rate_usd double, rate_gbp double,"
-    " rate_eur double, description string, ingested_at timestamp, execution_date date"
+PRICE_CLEANED = struct(
+    ("date", "currency"),
+    date=DATE,
+    currency=TEXT,
+    rate_usd=DOUBLE,
+    rate_gbp=DOUBLE,
+    rate_eur=DOUBLE,
+    description=TEXT,
+    ingested_at=TIME,
+    execution_date=DATE,
 )
 
 # The columns each dataset must have, per layer.
@@ -38,15 +71,11 @@ EXPECTED_FIELDS = {
     },
 }
 
-METRIC = T.StructType.fromDDL(
-    "name string, value double, unit string, dimensions map<string, string>, ts timestamp"
-)
+METRIC = struct(name=TEXT, value=DOUBLE, unit=TEXT, dimensions=T.MapType(TEXT, TEXT), ts=TIME)
 
 
 def envelope(payload: T.DataType) -> T.StructType:
     """Schema of one landed document around ``payload``, with a column for unreadable text."""
-    return (
-        T.StructType.fromDDL("source string, ingested_at string, execution_date string, record_count bigint")
-        .add("data", payload)
-        .add("_corrupt_record", T.StringType())
+    return struct(
+        source=TEXT, ingested_at=TEXT, execution_date=TEXT, record_count=LONG, data=payload, _corrupt_record=TEXT
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,3 +35,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="strata-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as a table in the shared scratch folder, and read from there.
+
+    For a frame that several passes read: they scan the table's columns instead of each working the
+    frame out again, and a lost executor costs no more than its own scan.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
