@@ -9,17 +9,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.checks import Suite, SuiteReport, summarize
+from strata.functions.dates import folder_of
+from strata.operators.checks import RESULT, Suite, SuiteReport, summarize
 from strata.operators.monitor import points
 from strata.operators.runs import count_checks, freshness_check, no_files
 from strata.params import QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
 from strata.session import stage
-from strata.sinks.tables import observed, write_cleaned, write_curated
+from strata.sinks.tables import emit_metrics, observed, record_history, write_cleaned, write_curated, write_report
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
 
+PAYLOADS = {"weather": HOURLY_PAYLOAD, "crypto": PRICE_PAYLOAD}
+RESULT_COLUMNS = ["suite", "position", "check", "passed", "detail", "value"]
+
+
 class QualityGateError(RuntimeError):
     """Raised before anything is promoted; carries the report that failed."""
 
@@ -143,14 +148,94 @@ def validation_report(checks: DataFrame, layer: str, execution_date: str, valida
 
 
 def validation_metrics(checks: DataFrame, layer: str, execution_date: str, ts: Column) -> DataFrame:
-    """The passed and failed checks of each dataset as metric points."""
-    per_dataset = summarize(checks).withColumn("dataset", F.element_at(F.split("suite", "/"), -1))
-    long = per_dataset.unpivot(["dataset"], ["passed", "failed"], "outcome", "n")
-    name = F.when(F.col("outcome") == "passed", "ValidationPassed").otherwise("ValidationFailed")
+    """The passed and failed checks and the row count of each dataset as metric points."""
+    counted = checks.groupBy("suite").agg(F.max(F.when(F.col("check") == "min_row_count", F.col("value"))).alias("RowCount"))
+    per_dataset = summarize(checks).join(counted, "suite").select(
+        F.element_at(F.split("suite", "/"), -1).alias("dataset"),
+        F.col("passed").cast("double").alias("ValidationPassed"),
+        F.col("failed").cast("double").alias("ValidationFailed"),
+        "RowCount",
+    )
+    names = ["ValidationPassed", "ValidationFailed", "RowCount"]
+    long = per_dataset.unpivot(["dataset"], names, "name", "n").filter(F.col("n").isNotNull())
+    name = F.col("name")
     dims = {"Layer": F.lit(layer), "Dataset": F.col("dataset"), "ExecutionDate": F.lit(execution_date)}
     return points(long, name, F.col("n"), F.lit("Count"), dims, ts)
 
 
+def partition_folder(base: str, layer: str, dataset: str, date: str) -> str:
+    """Where one date of a dataset lies in a layer."""
+    day = dt.date.fromisoformat(date)
+    tail = {
+        "raw": folder_of(day),
+        "cleaned": f"year={day.year}/month={day.month}/day={day.day}",
+        "curated": f"date={day.isoformat()}",
+    }[layer]
+    return f"{base}/{layer}/{dataset}/{tail}"
+
+
+def layer_check(
+    spark: SparkSession, base: str, layer: str, dataset: str, date: str, multi_line: bool = True, pattern: str = "*.json"
+) -> LayerCheck:
+    """One date of a dataset, read in the format of its layer, with the row counts of earlier runs."""
+    folder = partition_folder(base, layer, dataset, date)
+    if not path_exists(spark, folder):
+        return LayerCheck(layer, dataset, None, None)
+    if layer == "raw":
+        rows = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
+        rows = rows.drop("_corrupt_record")
+    else:
+        rows = read_layer(spark, f"{base}/{layer}/{dataset}", date, date)
+    history = None
+    if path_exists(spark, f"{base}/history"):
+        runs = spark.read.schema("row_count bigint, layer string, dataset string, run_date date").parquet(f"{base}/history")
+        earlier = F.col("run_date") < F.lit(date).cast("date")
+        history = runs.filter((F.col("layer") == layer) & (F.col("dataset") == dataset) & earlier)
+    files = file_inventory(spark, folder, pattern if layer == "raw" else "*.parquet")
+    return LayerCheck(layer, dataset, files, rows, history=history)
+
+
+def run_validation(
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    date: str,
+    as_of: dt.datetime,
+    datasets: list[str] | None = None,
+    multi_line: bool = True,
+    pattern: str = "*.json",
+) -> str:
+    """Validate datasets of a layer for one date; returns the overall PASS or FAIL.
+
+    Writes the report, the metric points and the row counts that later runs are compared with. Only
+    the check results, some ten short rows per dataset, come to the driver.
+    """
+    names = list(EXPECTED_FIELDS.get(layer, {})) if datasets is None else datasets
+    now = F.lit(as_of)
+    results = []
+    for dataset in names:
+        check = layer_check(spark, base, layer, dataset, date, multi_line, pattern)
+        results += [tuple(r) for r in validate_layer(check, now).select(*RESULT_COLUMNS).collect()]
+    if not results:
+        return "PASS"
+    checks = spark.createDataFrame(results, RESULT)
+    write_report(
+        validation_report(checks, layer, date, as_of), base, layer, date, as_of.strftime("%H%M%S")
+    )
+    emit_metrics(validation_metrics(checks, layer, date, now), f"{base}/metrics")
+    counted = checks.filter(F.col("check") == "min_row_count")
+    record_history(
+        counted.select(
+            F.lit(layer).alias("layer"),
+            F.element_at(F.split("suite", "/"), -1).alias("dataset"),
+            F.lit(date).cast("date").alias("run_date"),
+            F.col("value").cast("bigint").alias("row_count"),
+        ),
+        f"{base}/history",
+    )
+    return "FAIL" if any(not r[RESULT_COLUMNS.index("passed")] for r in results) else "PASS"
+
+
 def raw_to_cleaned(
     spark: SparkSession, base: str, date: str, null_policy: str = "drop", multi_line: bool = True, pattern: str = "*.json"
 ) -> dict[str, dict[str, int]]:
@@ -159,12 +244,12 @@ def raw_to_cleaned(
     Returns the row and null counts of each dataset, taken along while writing.
     """
     feeds = {
-        "weather": (HOURLY_PAYLOAD, lambda raw: hourly.clean(raw, null_policy)[0]),
-        "crypto": (PRICE_PAYLOAD, lambda raw: price.clean(raw)[0]),
+        "weather": lambda raw: hourly.clean(raw, null_policy)[0],
+        "crypto": lambda raw: price.clean(raw)[0],
     }
     counts = {}
-    for dataset, (payload, clean) in feeds.items():
-        raw = read_envelopes(spark, f"{base}/raw", dataset, date, payload, multi_line, pattern)
+    for dataset, clean in feeds.items():
+        raw = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
         cleaned, seen = observed(clean(raw), f"cleaned_{dataset}")
         write_cleaned(cleaned, f"{base}/cleaned/{dataset}")
         counts[dataset] = seen.get
