@@ -11,7 +11,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.log.level": "ERROR",
             "spark.ui.showConsoleProgress": "false",
