@@ -5,6 +5,7 @@ Each document is parsed once to a variant; the type tests and look-ups then work
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 COUNT_KEYS = ("data", "records", "items", "results", "hourly")
 ROW_KEYS = ("data", "records", "items")
 
-ENVELOPE_KEYS = ("source", "ingested_at", "execution_date", "record_count", "data")
+END = uuid.uuid4().hex
 
 ARRAY = "array<variant>"
 OBJECT = "map<string,variant>"
@@ -28,10 +29,14 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
 def parse(json_col: Column | str) -> Column:
     """The document as a variant; null unless the whole text is one JSON value.
 
-    The parser stops after the first value, so the text is read as the only element of a list.
+    The parser stops after the first value it finds, so the text is read as the first of two list
+    items. Text that ends early, or goes on after its value, does not leave the second one in place.
     """
-    listed = _array(F.try_parse_json(F.concat(F.lit("["), json_col, F.lit("]"))))
-    return once(listed, lambda found: F.when(F.size(found) == 1, found[0]))
+    listed = _array(F.try_parse_json(F.concat(F.lit("["), json_col, F.lit(f',"{END}"]'))))
+    return once(
+        listed,
+        lambda found: F.when((F.size(found) == 2) & (F.try_variant_get(found[1], "$", "string") == END), found[0]),
+    )
 
 
 def _array(doc: Column, path: str = "$") -> Column:
@@ -128,12 +133,10 @@ def wrap_envelope(
     )
     body = F.regexp_replace(payload, r"[\r\n]+", " ")
     text = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"data":'), body, F.lit("}"))
-    whole = F.size(F.map_keys(_object(F.try_parse_json("_text")))) == len(ENVELOPE_KEYS)
     return (
         df.withColumn("record_count", record_count(payload))
         .withColumn("_head", F.when(F.col("record_count").isNotNull(), head))
-        .withColumn("_text", text)
-        .withColumn("envelope", F.when(whole, F.col("_text")))
-        .withColumn("status", F.when(F.col("envelope").isNull(), "failed").otherwise("success"))
-        .drop("_head", "_text")
+        .withColumn("envelope", text)
+        .withColumn("status", F.when(F.col("record_count").isNull(), "failed").otherwise("success"))
+        .drop("_head")
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.jsondoc import extract_json, extract_typed, record_count, unwrap_rows, wrap_envelope
+from strata.plans.landing import land_documents, landing_metrics
 from strata.registry import query
-from strata.registry.views import landed_prices, prop_k, table
+from strata.registry.views import PROCESSED_AT, landed_prices, prop_k, table
+from strata.session import scratch_dir
 
 
 @query(
@@ -27,6 +29,34 @@ def json_envelope(spark, sf_dir):
     return wrapped.select("event_id", "status", "record_count", "envelope")
 
 
+@query(
+    "land_documents",
+    """WITH d AS (SELECT event_type AS source, event_id % 31 <> 0 AS ok, (props->>'k')::bigint AS k FROM events),
+    t AS (SELECT source, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, count(*) AS documents,
+        coalesce(sum(k % 4) FILTER (WHERE ok), 0)::bigint AS records FROM d GROUP BY 1, 2)
+    SELECT t.*, CASE status WHEN 'success' THEN 'RecordsIngested' ELSE 'IngestionErrors' END AS metric,
+      CASE status WHEN 'success' THEN records ELSE documents END::double AS value,
+      (SELECT count(*) FROM d WHERE ok) AS landed FROM t""",
+)
+def land(spark, sf_dir):
+    """Documents of a run, some cut short: their statuses, metric points, and the files landed."""
+    events = table(spark, sf_dir, "events")
+    text = F.concat(F.lit('{"data":'), listed(prop_k().cast("int") % 4), F.lit("}"))
+    cut_short = F.when(F.col("event_id") % 31 == 0, F.substring(text, 1, 8)).otherwise(text)
+    base, date = scratch_dir(spark, "lake"), "2024-02-01"
+    statuses = land_documents(
+        events.withColumn("payload", cut_short), "payload", F.col("event_type"), base, "events", date, F.lit("now")
+    )
+    found = landing_metrics(statuses, date, F.lit(PROCESSED_AT)).select(
+        F.col("dimensions")["Source"].alias("source"),
+        F.when(F.col("name") == "RecordsIngested", "success").otherwise("failed").alias("status"),
+        F.col("name").alias("metric"),
+        "value",
+    )
+    landed = spark.read.text(f"{base}/raw/events/2024/02/01").agg(F.count(F.lit(1))).scalar()
+    return statuses.join(found, ["source", "status"]).withColumn("landed", landed)
+
+
 def listed(n, item=None):
     """JSON text of a list of ``n`` items."""
     item = F.lit("1") if item is None else item

@@ -75,21 +75,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def land_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, raw_base: str, name: str, date: str, stamp: str
 ) -> DataFrame:
-    """Copy an uploaded CSV into the raw layer and give one status row.
+    """Copy the rows of an uploaded CSV into the raw layer and give one status row.
 
     An empty or missing path is no failure: the row then says ``skipped`` and why.
     """
+    target, reason, size_kb = None, None, None
     if not path:
-        status, target, reason = "skipped", None, "no path provided"
+        reason = "no path provided"
     elif not path_exists(spark, path):
-        status, target, reason = "skipped", None, "file not found"
+        reason = "file not found"
     else:
-        status, target, reason = "success", f"{raw_base}/flat_files/{folder_of(date)}/{name}_{stamp}.csv", None
+        target = f"{raw_base}/flat_files/{folder_of(date)}/{name}_{stamp}.csv"
         read_csv_upload(spark, path, schema).write.mode("overwrite").option("header", True).option(
             "escape", '"'
         ).csv(target)
+        size_kb = inventory_totals(file_inventory(spark, path)).head().bytes / 1024
     return spark.createDataFrame(
-        [(name, status, target, reason)], "source string, status string, uri string, reason string"
+        [(name, "skipped" if reason else "success", target, reason, size_kb)],
+        "source string, status string, uri string, reason string, size_kb double",
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 
 import pytest
@@ -83,6 +84,9 @@ def test_documents_one_per_file(spark, tmp_path):
     (folder / "a.json").write_text(json.dumps(good, indent=2))
     (folder / "b.json").write_text('{"source": "broken", ')
     (folder / "c.txt").write_text("not read")
+    with gzip.open(folder / "d.json.gz", "wt") as packed:
+        packed.write(json.dumps(good))
+    assert read_envelopes(spark, str(tmp_path), "weather", "2024-01-05", HOURLY_PAYLOAD, pattern="*.gz").count() == 1
     rows = read_envelopes(spark, str(tmp_path), "weather", "2024-01-05", HOURLY_PAYLOAD).collect()
     assert len(rows) == 2
     whole = next(r for r in rows if r._corrupt_record is None)
@@ -99,6 +103,7 @@ def test_landed_csv(spark, tmp_path):
     upload.write_text('id,name\n1,"a, ""b"""\n2,\n')
     schema = "id int, name string"
     row = land_csv(spark, str(upload), schema, str(tmp_path / "raw"), "orders", "2024-01-05", "T").head()
+    assert row.size_kb == upload.stat().st_size / 1024
     assert row.status == "success" and row.uri.endswith("raw/flat_files/2024/01/05/orders_T.csv")
     rows = read_csv_upload(spark, row.uri, schema).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, 'a, "b"'), (2, None)]
