@@ -51,7 +51,8 @@ def write_report(report: DataFrame, base: str, layer: str, date: str, stamp: str
 
 def emit_metrics(points: DataFrame, path: str) -> None:
     """Append metric points, partitioned by their day."""
-    points.withColumn("metric_date", F.to_date("ts")).write.mode("append").partitionBy("metric_date").parquet(path)
+    dated = points.withColumn("metric_date", F.to_date("ts")).hint("rebalance", "metric_date")
+    dated.write.mode("append").partitionBy("metric_date").parquet(path)
 
 
 def record_history(counts: DataFrame, path: str) -> None:
