@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import rnd
 from strata.operators.rollup import AGGREGATES, Spec, rounded
+from strata.session import stage
 
 OverSeries = Callable[[WindowSpec], Column]
 
@@ -42,6 +44,19 @@ def look_back(
     return inner.unionByName(heads).drop("_chunk", "_at", "_len")
 
 
+def even_chunks(df: DataFrame, by: list[str], order: list[str], rows: int = 1_000_000, most: int = 20_000) -> DataFrame:
+    """``df`` with a column ``_part`` to cut its series at, about ``rows`` rows each.
+
+    For series of any distribution, also where one moment holds much of the table: Spark samples the
+    rows and ranges them by series and order, so only rows equal in both stay together. The ranges are
+    fixed by writing them, since a second sample would cut elsewhere. Beyond ``most`` chunks the chunks
+    grow instead.
+    """
+    chunks = min(max(math.ceil(df.count() / rows), 1), most)
+    ranged = df.repartitionByRange(chunks, *by, *order).withColumn("_part", F.spark_partition_id())
+    return stage(ranged, "chunks")
+
+
 def rolling(
     df: DataFrame, by: list[str], order: list[str], n: int, specs: Spec, chunk: Column | None = None
 ) -> DataFrame:

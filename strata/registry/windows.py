@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import rnd
-from strata.operators.series import look_back, rolling
+from strata.operators.series import even_chunks, look_back, rolling
 from strata.plans import hourly as hourly_plan
 from strata.plans import price
 from strata.registry import query
@@ -53,7 +53,7 @@ def rolling_24(spark, sf_dir):
     FROM readings WINDOW w AS (PARTITION BY source ORDER BY ts, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_events(spark, sf_dir):
-    """The 24-row window over single events, whose series grow with the table: cut at days."""
+    """The 24-row window over single events, whose series grow with the table: cut evenly."""
 
     def framed(agg):
         return lambda w: agg.over(w.rowsBetween(-23, 0))
@@ -64,8 +64,10 @@ def rolling_events(spark, sf_dir):
         "rolling_min": framed(F.min("temperature_c")),
         "rolling_stddev": lambda w: rnd(F.stddev_samp("temperature_c").over(w.rowsBetween(-23, 0)), 4),
     }
-    rows = readings(spark, sf_dir).select("event_id", "source", "ts", "date", "temperature_c")
-    out = look_back(rows, ["source"], ["ts", "event_id"], 23, exprs, chunk=F.col("date"))
+    rows = readings(spark, sf_dir).select("event_id", "source", "ts", "temperature_c")
+    by, order = ["source"], ["ts", "event_id"]
+    # Small chunks, so that the small tables are cut too; their number has a bound.
+    out = look_back(even_chunks(rows, by, order, rows=2_000), by, order, 23, exprs, chunk=F.col("_part"))
     return out.select("event_id", "source", *exprs)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import rnd
-from strata.operators.series import bands, change_pct, look_back, rolling
+from strata.operators.series import bands, change_pct, even_chunks, look_back, rolling
 from strata.plans import hourly, price
 
 NOW = dt.datetime(2024, 2, 1)
@@ -44,6 +44,28 @@ def test_chunks_do_not_change_the_result(spark, width):
     assert cut.count() == len(rows)
 
 
+def crowded(spark):
+    """A third of the rows in one moment of one series, another third in the rest of that series."""
+    at = F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000)
+    entity = F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7))
+    return spark.range(30000).select("id", entity.alias("entity"), at.alias("at"), (F.col("id") * 7 % 101).alias("v"))
+
+
+def test_even_chunks_do_not_change_the_result(spark):
+    df, by, order = crowded(spark), ["entity"], ["at", "id"]
+    plain = look_back(df, by, order, 6, EXPRS)
+    cut = look_back(even_chunks(df, by, order, rows=500), by, order, 6, EXPRS, chunk=F.col("_part")).drop("_part")
+    assert cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
+
+
+def test_even_chunks_split_a_crowded_moment(spark):
+    parts = even_chunks(crowded(spark), ["entity"], ["at", "id"], rows=500)
+    sizes = parts.groupBy("entity", "_part").count()
+    assert sizes.agg(F.max("count")).head()[0] < 2500
+    assert parts.select("_part").distinct().count() > 30
+    assert even_chunks(crowded(spark), ["entity"], ["at", "id"], rows=1, most=8).select("_part").distinct().count() <= 8
+
+
 def test_rolling_against_brute_force(spark):
     rows, df = series(spark, 3)
     got = {
