@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CELLS = 10_000
 Bounds = tuple[float | None, float | None]
 
 
@@ -66,9 +67,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """The smallest value of each column that at least a share ``q`` of the non-null values reach.
 
-    First a sketch brackets the value; then only the values inside the bracket, a share of about
-    ``8/accuracy`` of a group, are counted and ranked. A sketch that missed raises an error rather
-    than give a wrong value. One row per group; columns as named.
+    First a sketch brackets the value, leaving a share of about ``8/accuracy`` of a group. Then the
+    values in the bracket are counted per cell, of ``CELLS`` equal ones, to find the cell with the
+    wanted rank; and only the values of that cell are put in order. A sketch that missed raises an error
+    rather than give a wrong value. One row per group with any value; columns as named.
     """
     by = list(by)
     margin = 4 / accuracy
@@ -82,38 +84,53 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("_n"),
     )
     if by:
-        same = reduce(Column.__and__, [F.col(f"v.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group])
-        bracketed = values.alias("v").join(sketch.alias("s"), same).select("v.*", "_b", "_n")
+        bracketed = _join(values, sketch, group)
     else:  # one entry per column: read as a scalar, so the values need no shuffle to meet it
         entry = F.struct("_col", F.struct("_b", "_n"))
         lookup = sketch.agg(F.map_from_entries(F.collect_list(entry))).scalar()
         bracketed = values.withColumn("_s", lookup[F.col("_col")]).select("*", "_s._b", "_s._n")
-    # Values below the bracket count as one entry without a value.
-    at = F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")).alias("_at")
+    lo, hi = F.col("_b")[0], F.col("_b")[1]
+    inside = F.floor(F.coalesce(F.try_divide(F.col("_v") - lo, hi - lo), F.lit(0.0)) * CELLS)
+    below = F.col("_v") < lo
     counted = (
-        bracketed.filter(F.col("_v") <= F.col("_b")[1])
-        .groupBy(*group, "_n", at)
+        bracketed.filter(F.col("_v") <= hi)
+        .groupBy(
+            *group,
+            F.greatest(F.ceil(F.col("_n") * F.lit(q)), F.lit(1)).alias("_need"),
+            F.when(below, F.lit(-1)).otherwise(inside).alias("_cell"),
+            F.when(~below, F.col("_v")).alias("_at"),
+        )
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    upto = Window.partitionBy(*group).orderBy(F.col("_at").asc_nulls_first())
-    need = F.greatest(F.ceil(F.col("_n") * F.lit(q)), F.lit(1))
-    found = (
-        counted.withColumn("_cum", F.sum("_c").over(upto))
-        .withColumn("_need", need)
+    rising = Window.partitionBy(*group)
+    reached = F.col("_upto") >= F.col("_need")
+    cells = (
+        counted.groupBy(*group, "_need", "_cell")
+        .agg(F.sum("_c").alias("_in"))
+        .withColumn("_upto", F.sum("_in").over(rising.orderBy("_cell")))
         .groupBy(*group)
-        .agg(
-            F.max(F.when(F.col("_at").isNull(), F.col("_cum") >= F.col("_need"))).alias("_low_miss"),
-            F.min(F.when(F.col("_cum") >= F.col("_need"), F.col("_at"))).alias("_q"),
-        )
-        .withColumn(
-            "_q",
-            F.when(
-                F.coalesce("_low_miss", F.lit(False)) | F.col("_q").isNull(),
-                F.raise_error(F.lit("quantile sketch missed its bracket; raise accuracy")).cast("double"),
-            ).otherwise(F.col("_q")),
-        )
+        .agg(F.min(F.when(reached, F.struct("_cell", (F.col("_upto") - F.col("_in")).alias("_before")))).alias("_hit"))
+    )
+    missed = F.raise_error(F.lit("quantile sketch missed its bracket; raise accuracy")).cast("bigint")
+    cells = cells.select(
+        *group,
+        F.when(F.coalesce(F.col("_hit._cell"), F.lit(-1)) < 0, missed).otherwise(F.col("_hit._cell")).alias("_cell"),
+        F.col("_hit._before").alias("_before"),
     )
-    return found.groupBy(*by).agg(*[F.max(F.when(F.col("_col") == c, F.col("_q"))).alias(c) for c in cols])
+    found = (
+        _join(counted, cells, [*group, "_cell"])
+        .withColumn("_upto", F.col("_before") + F.sum("_c").over(rising.orderBy("_at")))
+        .filter(reached)
+    )
+    picked = [F.min(F.when(F.col("_col") == c, F.col("_at"))).alias(c) for c in cols]
+    return found.groupBy(*by).agg(*picked)
+
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, nulls being equal."""
+    same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    extra = [f"r.{c}" for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), same).select("l.*", *extra)
 
 
 def impute(
