@@ -15,7 +15,9 @@ from strata.operators.checks import count_if
 from strata.params import RetentionRule
 
 
-def points(df: DataFrame, name: Column, value: Column, unit: Column, dimensions: dict[str, Column], ts: Column) -> DataFrame:
+def points(
+    df: DataFrame, name: Column, value: Column, unit: Column, dimensions: dict[str, Column], ts: Column
+) -> DataFrame:
     """Rows of ``df`` as metric points."""
     pairs = [part for key, c in dimensions.items() for part in (F.lit(key), c.cast("string"))]
     return df.select(
@@ -111,7 +113,10 @@ def alarms(metrics: DataFrame, rules: list[AlarmRule]) -> DataFrame:
     return (
         metrics.filter(F.col("name").isin([r.metric for r in rules]))
         .withColumn("_rule", F.explode(F.filter(listed, lambda r: r["metric"] == F.col("name"))))
-        .groupBy(F.col("_rule.alarm").alias("alarm"), period_start(F.col("ts"), F.col("_rule.seconds")).alias("period_start"))
+        .groupBy(
+            F.col("_rule.alarm").alias("alarm"),
+            period_start(F.col("ts"), F.col("_rule.seconds")).alias("period_start"),
+        )
         .agg(F.sum("value").alias("total"))
         .withColumn("breached", breached)
     )

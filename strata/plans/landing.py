@@ -12,7 +12,14 @@ from strata.session import stage
 
 
 def land_documents(
-    df: DataFrame, payload: str, source: Column, base: str, dataset: str, date: str, ingested_at: Column, compress: bool = True
+    df: DataFrame,
+    payload: str,
+    source: Column,
+    base: str,
+    dataset: str,
+    date: str,
+    ingested_at: Column,
+    compress: bool = True,
 ) -> DataFrame:
     """Write the documents of a run to the raw layer, one envelope per line, and give their statuses.
 

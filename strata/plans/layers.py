@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import folder_of
@@ -17,7 +17,7 @@ from strata.params import QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
 from strata.session import stage
-from strata.sinks.tables import emit_metrics, observed, record_history, write_cleaned, write_curated, write_report
+from strata.sinks.tables import emit_metrics, record_history, write_cleaned, write_curated, write_report
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
 
@@ -101,16 +101,11 @@ def validate_layer(check: LayerCheck, as_of: Column, params: QualityParams = QUA
     expected = check.expected or EXPECTED_FIELDS.get(check.layer, {}).get(check.dataset, [])
     fresh = freshness_check(check.files, as_of, check.name, max_hours=params.max_age_hours)
     found = layer_suite(check.name, expected, params).evaluate(check.rows)
-    # An empty table has no columns to look at: its two checks fail.
-    empty = found.filter((F.col("position") == 0) & (F.col("value") == 0)).select(
-        "suite",
-        F.inline(
-            F.array(
-                F.struct(F.lit(1).alias("position"), F.lit("schema_check").alias("check"), F.lit("No records to validate").alias("detail")),
-                F.struct(F.lit(2).alias("position"), F.lit("null_rate_check").alias("check"), F.lit("No records").alias("detail")),
-            )
-        ),
-    )
+    # An empty table has nothing to look at: its two checks fail.
+    unmet = [(1, "schema_check", "No records to validate"), (2, "null_rate_check", "No records")]
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("check"), F.lit(d).alias("detail")) for i, c, d in unmet]
+    counted_none = (F.col("position") == 0) & (F.col("value") == 0)
+    empty = found.filter(counted_none).select("suite", F.inline(F.array(*rows)))
     empty = empty.withColumns({"passed": F.lit(False), "value": F.lit(None).cast("double")})
     results = found.unionByName(empty).withColumn("position", F.col("position") + 1)
     if check.history is not None:
@@ -241,7 +236,9 @@ def raw_to_cleaned(
 ) -> dict[str, dict[str, int]]:
     """Clean the documents landed on ``date`` and replace the cleaned partitions they fall in.
 
-    Returns the row and null counts of each dataset, taken along while writing.
+    Returns the row and null counts of each dataset, taken along while writing. Documents that cannot
+    be read, and rows without a time, have no place in the cleaned tables; validating the raw layer shows
+    the former as nulls in the envelope's columns.
     """
     feeds = {
         "weather": lambda raw: hourly.clean(raw, null_policy)[0],
@@ -250,8 +247,8 @@ def raw_to_cleaned(
     counts = {}
     for dataset, clean in feeds.items():
         raw = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
-        cleaned, seen = observed(clean(raw), f"cleaned_{dataset}")
-        write_cleaned(cleaned, f"{base}/cleaned/{dataset}")
+        seen = Observation(f"cleaned_{dataset}")
+        write_cleaned(clean(raw), f"{base}/cleaned/{dataset}", seen=seen)
         counts[dataset] = seen.get
     return counts
 

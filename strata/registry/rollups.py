@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from strata.plans import price, summary
 from strata.registry import query
-from strata.registry.views import PROCESSED_AT, PROCESSED_SQL, RATES, READINGS, SHIPMENTS, rates, readings, shipments, sql_rnd
+from strata.registry.views import (
+    PROCESSED_AT,
+    PROCESSED_SQL,
+    RATES,
+    READINGS,
+    SHIPMENTS,
+    rates,
+    readings,
+    shipments,
+    sql_rnd,
+)
 
 DAILY_COLUMNS = f"""{sql_rnd('avg(temperature_c)', 2)} AS avg_temp_c, {sql_rnd('max(temperature_c)', 2)} AS max_temp_c,
   {sql_rnd('min(temperature_c)', 2)} AS min_temp_c, {sql_rnd('stddev_samp(temperature_c)', 4)} AS stddev_temp_c,

@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import folder_of, partition_parts
 
+ROWS = "_rows"
 
-def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+
+def write_partitioned(df: DataFrame, path: str, by: list[str], seen: Observation | None = None) -> None:
     """Replace the partitions that ``df`` has rows for and leave the others alone.
 
     The rebalance hint gathers each partition's rows in few files, and lets Spark split a partition
-    that is much larger than the others over several tasks.
+    that is much larger than the others over several tasks. ``seen`` gets the row count and null counts.
     """
+    spread = df.hint("rebalance", *by)
+    if seen is not None:
+        spread = observed(spread, seen)
     (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
+        spread.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*by)
@@ -24,8 +28,18 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
-def write_cleaned(df: DataFrame, path: str, date: str = "date") -> None:
-    write_partitioned(partition_parts(df, date), path, ["year", "month", "day"])
+def observed(df: DataFrame, seen: Observation) -> DataFrame:
+    """``df`` with its row count and null counts taken along by whatever action reads it next.
+
+    Ask for them behind the last shuffle only: Spark counts a task of the last stage once, but those
+    of an earlier stage again when a lost executor has them redone.
+    """
+    nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns]
+    return df.observe(seen, F.count(F.lit(1)).alias(ROWS), *nulls)
+
+
+def write_cleaned(df: DataFrame, path: str, date: str = "date", seen: Observation | None = None) -> None:
+    write_partitioned(partition_parts(df, date), path, ["year", "month", "day"], seen)
 
 
 def write_curated(df: DataFrame, path: str, by: list[str] | None = None) -> None:
@@ -35,13 +49,6 @@ def write_curated(df: DataFrame, path: str, by: list[str] | None = None) -> None
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with its row count and null counts taken along by whatever action reads it next."""
-    seen = Observation(name)
-    counts = [F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns]
-    return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts), seen
-
-
 def write_report(report: DataFrame, base: str, layer: str, date: str, stamp: str) -> str:
     """Write a validation report as JSON; returns its folder."""
     path = f"{base}/validation_reports/{layer}/{folder_of(date)}/report_{stamp}.json"

@@ -6,11 +6,12 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from strata.schemas import HOURLY_PAYLOAD
 from strata.session import scratch_dir, stage
-from strata.sinks.tables import emit_metrics, observed, record_history, write_cleaned, write_curated
+from strata.sinks.tables import emit_metrics, record_history, write_cleaned, write_curated, write_partitioned
 from strata.sources.files import (
     file_inventory,
     inventory_totals,
@@ -136,10 +137,10 @@ def test_registered_table_has_the_columns_of_all_files(spark, tmp_path):
 
 
 def test_counts_taken_while_writing(spark, tmp_path):
-    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
-    watched, seen = observed(df, "counts")
-    watched.write.parquet(str(tmp_path / "t"))
-    assert seen.get == {"_rows": 3, "a": 1, "b": 2}
+    df = spark.createDataFrame([(1, None, "p"), (2, "x", "p"), (None, None, "q")], "a int, b string, part string")
+    seen = Observation("counts")
+    write_partitioned(df, str(tmp_path / "t"), ["part"], seen)
+    assert seen.get == {"_rows": 3, "a": 1, "b": 2, "part": 0}
 
 
 def test_history_of_a_rerun(spark, tmp_path):
