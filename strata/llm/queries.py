@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import mixing, radix_dedup, sharding, warc
-from strata.llm.common import read
+from strata.llm import decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, warc
+from strata.llm.common import fold, read, ship
 from strata.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +17,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return fn
@@ -24,6 +29,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_bayes_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.with_language(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query(
     "op2_warc_chunks",
     r"""
@@ -67,11 +79,67 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
+@query("op4_weak_supervision_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
 @query("op5_hash_tree_shards")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
 
+@query("op6_suffix_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+
+
+@query("op7_line_field_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    labelled = docs.where("NOT held_out").select("doc_id", "text").join(labels, F.col("doc_id") == F.col("id"))
+    scored = quality.with_quality(docs.select("doc_id", "held_out", "text"), quality.fit(labelled))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_bm25_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.with_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.col("leaks.items").alias("item_ids"))
+
+
+@query(
+    "op9_prefix_filter_groups",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS words
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3
+               THEN list_transform(range(len(words) - 2), lambda i: array_to_string(words[i + 1 : i + 3], ' '))
+               WHEN len(words) > 0 THEN ['<' || array_to_string(words, ' ')] ELSE [] END) AS shingle
+      FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+      SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+    l AS (
+      SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * shared >= 90 * (nx.n + ny.n - shared)),
+    r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+    c AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(c.y, w.doc_id)) AS component_id
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.x = w.doc_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query(
     "op10_water_filling_mix",
     r"""
