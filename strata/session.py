@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,8 +42,32 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as a table in the shared scratch folder, and read from there.
 
     For a frame that several passes read: they scan the table's columns instead of each working the
-    frame out again, and a lost executor costs no more than its own scan.
+    frame out again, and a lost executor costs no more than its own scan. `unstage` removes the copy.
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder in whatever store it lies; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Removes the copies behind frames that `stage` gave, once nothing will read them again."""
+    for df in frames:
+        delete_path(df.sparkSession, df._staged_at)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps.
+
+    They go when the driver collects the garbage that refers to them, which a driver with little to do
+    may put off for half an hour, while the files fill the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
