@@ -83,31 +83,56 @@ def _plans(sized: DataFrame, targets: DataFrame, epochs: int) -> DataFrame:
     return attach(wanted, last, ["source"])
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: int = 3, share: float = 1.0, seed: int = 17) -> DataFrame:
-    """How many words of each document the mix takes.
-
-    Returns doc_id, source, size, source_size, target (its source's), taken. ``weights`` has one row
-    (source, weight) for each source; without it they weigh 1, 2, 3, repeating. A null text has size 0;
-    null sources form one source. Rows that share a doc_id share a place in the seeded order. An empty
-    table gives no rows. Other columns of ``docs`` are not looked at.
-    """
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """Adds size, draw and slice."""
     seeded = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     slice_of = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") / F.lit(2**32 // SLICES)).cast("int")
-    sized = docs.select("doc_id", "source", word_count().alias("size"), seeded.alias("draw"))
-    sized = stage(sized.withColumn("slice", slice_of), "mix-sized")
+    return docs.withColumn("size", word_count()).withColumn("draw", seeded).withColumn("slice", slice_of)
+
+
+def _plan(sized: DataFrame, weights: DataFrame | None, epochs: int, share: float) -> DataFrame:
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = cyclic_weights(sources) if weights is None else attach(sources, weights.select("source", "weight"), ["source"], "inner")
-    plans = stage(_plans(sized, water_fill(sources, epochs, share), epochs), "mix-plans")
+    return stage(_plans(sized, water_fill(sources, epochs, share), epochs), "mix-plans")
+
+
+def _extra(sized: DataFrame, plans: DataFrame) -> DataFrame:
+    """Adds the plan of each row's source, and ``extra``, the words it gives to the fractional repetition."""
     small = plans.count() <= BROADCAST_SOURCES
     rows = attach(sized, F.broadcast(plans) if small else plans, ["source"], "inner")
     at_end = F.coalesce(F.col("slice") == F.col("end_slice"), F.lit(False))
-    whole = F.when(F.coalesce(F.col("slice") < F.col("end_slice"), F.lit(False)), F.col("size")).otherwise(F.lit(0).cast("long"))
+    none = F.lit(0).cast("long")
+    whole = F.when(F.coalesce(F.col("slice") < F.col("end_slice"), F.lit(False)), F.col("size")).otherwise(none)
     order = Window.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("size").over(order)
-    ending = rows.where(at_end).withColumn(
-        "extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("end_part") - upto + F.col("size")))
-    )
-    taken = rows.where(~at_end).withColumn("extra", whole).unionByName(ending)
-    return taken.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken")
-    )
+    before = F.sum("size").over(order) - F.col("size")
+    ending = rows.where(at_end).withColumn("extra", F.greatest(none, F.least(F.col("size"), F.col("end_part") - before)))
+    return rows.where(~at_end).withColumn("extra", whole).unionByName(ending)
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: int = 3, share: float = 1.0, seed: int = 17) -> DataFrame:
+    """How many words of each document the mix takes.
+
+    Returns doc_id, source, size, source_size, target (its source's), taken. ``weights`` has one row
+    (source, weight) for each source; without it they weigh 1, 2, 3, repeating. A null text has size 0;
+    null sources form one source. Rows that share a doc_id share a place in the seeded order. An empty
+    table gives no rows. Other columns of ``docs`` are not looked at.
+    """
+    sized = stage(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sized")
+    rows = _extra(sized, _plan(sized, weights, epochs, share))
+    taken = (F.col("whole") * F.col("size") + F.col("extra")).alias("taken")
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken)
+
+
+def mixed_documents(
+    docs: DataFrame, weights: DataFrame | None = None, epochs: int = 3, share: float = 1.0, seed: int = 17
+) -> DataFrame:
+    """The mix itself: every document as often as `mix` takes it, with all its columns and its whole text.
+
+    The document at the end of a source's fractional repetition stays if at least half of it is taken.
+    """
+    held = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "source", "text")
+    sized = stage(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sized")
+    rows = _extra(_sized(held, seed).drop("text"), _plan(sized, weights, epochs, share))
+    once_more = (F.col("slice") < F.col("end_slice")) | ((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size")))
+    copies = F.col("whole") + F.coalesce(once_more, F.lit(False)).cast("int")
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("__row.*")

@@ -85,67 +85,72 @@ def _one_hot(values: np.ndarray, bounds: tuple[float, ...]) -> np.ndarray:
     return np.searchsorted(bounds, values, side="right")[:, None] == np.arange(len(bounds) + 1)
 
 
-def _echoes(joined: np.ndarray, kinds: np.ndarray, mixed: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Share of each line's words that equal a word one or two places before, whatever their marks and case."""
+def _words(joined: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all words, whatever their marks and case; used as features only."""
+    place = np.arange(len(joined), dtype=np.int32)
     inside = (kinds != BLANK) & (joined != 10)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(len(begins))
-    line = np.searchsorted(begins, starts, side="right") - 1
-    word = np.add.reduceat(np.where(inside & (kinds != STOP), mixed, np.uint64(0)), starts)
-    echo = np.zeros(len(starts), bool)
-    for k in (1, 2):
-        echo[k:] |= (word[k:] == word[:-k]) & (line[k:] == line[:-k])
-    words = np.bincount(line, minlength=len(begins))
-    return np.bincount(line, echo, len(begins)) / np.maximum(1, words)
+        return starts, np.zeros(0, np.uint64)
+    since = (place - np.maximum.accumulate(np.where(inside, np.int32(-1), place))).astype(np.uint64)
+    lowered = np.where(kinds == UPPER, joined + np.uint8(32), joined)
+    hashed = (lowered + np.uint64(1)) * (since * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03))
+    hashed ^= hashed >> np.uint64(29)
+    hashed *= inside & (kinds != STOP)
+    return starts, np.add.reduceat(hashed, starts) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def lines_of(texts: list[bytes]) -> Lines:
     """Features of all lines; an empty text is one empty line."""
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     ends = np.flatnonzero(joined == 10)
+    n = len(ends)
     begins = np.concatenate(([0], ends[:-1] + 1))
     text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
     lines_upto = np.searchsorted(ends, text_ends, side="right")
     starts = np.concatenate(([0], lines_upto[:-1]))
     kinds = KINDS[joined]
-    counts = {k: np.add.reduceat(kinds == k, begins, dtype=np.int64) for k in (*STEPS, TAIL)}
     size = ends - begins
-    lengths = np.maximum(1, size - counts[TAIL])
-    parts = [_one_hot(counts[k] / lengths, STEPS[k]) for k in STEPS]
-    parts.append(_one_hot(size - counts[TAIL], LENGTHS))
-    lowered = np.where(kinds == UPPER, joined + np.uint8(32), joined).astype(np.uint64)
-    # Of words only: places count from the last blank.
-    blank = np.where((kinds == BLANK) | (joined == 10), np.arange(len(joined)), -1)
-    since = (np.arange(len(joined)) - np.maximum.accumulate(blank)).astype(np.uint64)
-    spread = (lowered + np.uint64(1)) * (since * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03))
-    spread ^= spread >> np.uint64(29)
-    parts.append(_one_hot(_echoes(joined, kinds, spread * np.uint64(0xBF58476D1CE4E5B9), begins), ECHOES))
+    kinds_of_lines = np.repeat(np.arange(n, dtype=np.int32) * 11, size + 1) + kinds
+    counts = np.bincount(kinds_of_lines, minlength=11 * n).reshape(n, 11)
+    chars = size - counts[:, TAIL]
+    lengths = np.maximum(1, chars)
+    parts = [_one_hot(counts[:, k] / lengths, STEPS[k]) for k in STEPS]
+    parts.append(_one_hot(chars, LENGTHS))
+    place, word = _words(joined, kinds)
+    line = np.searchsorted(begins, place, side="right") - 1
+    echo = np.zeros(len(word), bool)
+    for k in (1, 2):
+        echo[k:] |= (word[k:] == word[:-k]) & (line[k:] == line[:-k])
+    words = np.bincount(line, minlength=n)
+    parts.append(_one_hot(np.bincount(line, echo, n) / np.maximum(1, words), ECHOES))
     empty = size == 0
     first, last = kinds[begins], kinds[np.maximum(begins, ends - 1)]
-    # Equal lines have equal sums of hashed characters and places; used as a feature only.
-    place = (np.arange(len(joined)) - np.repeat(begins, size + 1)).astype(np.uint64)
-    mixed = (joined.astype(np.uint64) + np.uint64(1)) * (place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03))
-    mixed ^= mixed >> np.uint64(29)
-    token = np.add.reduceat(mixed * np.uint64(0xBF58476D1CE4E5B9), begins)
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(begins))))
+    # Lines with the same words in order are repeated.
+    rank = (np.arange(len(word)) - np.repeat(np.cumsum(words) - words, words)).astype(np.uint64)
+    placed = (word ^ (word >> np.uint64(32))) * (rank * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03))
+    token = np.zeros(n, np.uint64)
+    some = np.flatnonzero(words)
+    if len(some):
+        token[some] = np.add.reduceat(placed, (np.cumsum(words) - words)[some])
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, n)))
     order = np.lexsort((token, owner))
     same = (owner[order][1:] == owner[order][:-1]) & (token[order][1:] == token[order][:-1])
-    repeated = np.zeros(len(begins), bool)
+    repeated = np.zeros(n, bool)
     repeated[order[1:]] |= same
     repeated[order[:-1]] |= same
     parts.append(np.stack([empty, (first == UPPER) & ~empty, (last == STOP) & ~empty, (last == SHOUT) & ~empty, repeated & ~empty], 1))
     own = np.concatenate(parts, 1).astype(np.float32)
     ahead, behind = np.zeros_like(own), np.zeros_like(own)
     ahead[:-1], behind[1:] = own[1:], own[:-1]
-    is_first = np.zeros(len(begins), bool)
+    is_first = np.zeros(n, bool)
     is_first[starts] = True
     is_last = np.append(is_first[1:], True)
     ahead[is_last] = 0
     behind[is_first] = 0
-    edges = np.stack([np.ones(len(begins)), is_first, is_last], 1).astype(np.float32)
+    edges = np.stack([np.ones(n), is_first, is_last], 1).astype(np.float32)
     return Lines(np.concatenate((own, ahead, behind, edges), 1), lengths.astype(float), starts)
 
 
