@@ -27,13 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import PrefixHash, attach, mixed, whole_groups
-from strata.session import stage
+from strata.session import release, stage
 
 LENGTH = 400
 GRAM = 100
 
-#: Contexts that are sorted together; more are split by offset.
-LARGEST_GROUP = 256
+#: Contexts that are sorted together, more are split by offset; and rows of their table of pairs held at once.
+LARGEST_GROUP, ROWS = 8192, 256
+
+#: Contexts of small groups that are sorted side by side.
+STRETCH = 2000
 
 #: Bytes that are searched for anchors at once.
 BLOCK = 1 << 20
@@ -187,30 +190,23 @@ class Suffixes:
         return order
 
 
-def _pairwise(extension: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Common extensions of all pairs from those of neighbours in order."""
-    m = len(extension)
-    table = np.zeros((m, m), np.int64)
-    for i in range(m - 1):
-        table[i, i + 1 :] = np.minimum.accumulate(extension[i + 1 :])
-    return (table + table.T)[np.ix_(rank, rank)]
-
-
-def _by_bytes(contexts: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Common extensions of all pairs by comparing bytes, where hashes have misled."""
-    m = len(contexts)
-    ahead, back = np.zeros((m, m), np.int64), np.zeros((m, m), np.int64)
-    for i in range(m):
-        for j in range(i + 1, m):
-            for table, a, b in (
-                (ahead, contexts[i][left[i] :], contexts[j][left[j] :]),
-                (back, contexts[i][: left[i]][::-1], contexts[j][: left[j]][::-1]),
-            ):
-                n = 0
-                while n < min(len(a), len(b)) and a[n] == b[n]:
-                    n += 1
-                table[i, j] = table[j, i] = n
-    return ahead, back
+def _with_all(near: np.ndarray, rank: np.ndarray, i: int) -> np.ndarray:
+    """Common extensions of suffix i with all of its group, from those of neighbours in order."""
+    at = rank[i]
+    out = np.zeros(len(near), np.int64)
+    out[at + 1 :] = np.minimum.accumulate(near[at + 1 :])
+    out[:at] = np.minimum.accumulate(near[at:0:-1])[::-1]
+    return out[rank]
+
+
+def _by_bytes(contexts: list[bytes], left: np.ndarray, i: int, ahead: bool) -> np.ndarray:
+    """The same by comparing bytes, where hashes have misled."""
+    side = (lambda j: contexts[j][left[j] :]) if ahead else (lambda j: contexts[j][: left[j]][::-1])
+    out = np.zeros(len(contexts), np.int64)
+    for j in range(len(contexts)):
+        pairs = zip(side(i), side(j))
+        out[j] = next((n for n, (a, b) in enumerate(pairs) if a != b), min(len(side(i)), len(side(j))))
+    return out
 
 
 def repeats(contexts: list[bytes], left: np.ndarray, low: np.ndarray, high: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -221,37 +217,38 @@ def repeats(contexts: list[bytes], left: np.ndarray, low: np.ndarray, high: np.n
     """
     counts = np.diff(np.append(starts, len(contexts)))
     suffixes = Suffixes(contexts, left)
-    tables = []
+    orders = []
     for ahead in (True, False):
         order = suffixes.sort(starts, counts, ahead)
         near = np.zeros(len(order), np.int64)
         near[1:] = suffixes.extension(order[1:], order[:-1], ahead)
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        tables.append((near, rank))
+        orders.append((near, rank))
     out = np.tile(np.array([1, 0], np.int64), (len(contexts), 1))
     for start, count in zip(starts, counts):
-        if count < 2:
-            continue
         own = slice(start, start + count)
-        ahead, back = (_pairwise(near[own], rank[own] - start) for near, rank in tables)
-        for attempt in range(2):
-            reach_back = np.minimum(back, np.minimum.outer(high[own], high[own]))
-            reach_ahead = np.minimum(ahead, LENGTH - np.maximum.outer(low[own], low[own]))
-            found = reach_back + reach_ahead >= LENGTH
-            np.fill_diagonal(found, False)
-            most, least = np.where(found, reach_back, -1), LENGTH - np.where(found, reach_ahead, -1)
-            partners = most.argmax(1), least.argmin(1)
-            hit = np.flatnonzero(found.any(1))
-            offsets = most.max(1), least.min(1)
-            if all(
-                _string(suffixes, start + i, d[i]) == _string(suffixes, start + p[i], d[i])
-                for i in hit
-                for p, d in zip(partners, offsets)
-            ):
-                break
-            ahead, back = _by_bytes(contexts[own], left[own])
-        out[start + hit, 0], out[start + hit, 1] = offsets[1][hit], offsets[0][hit]
+        near = [(near[own], rank[own] - start) for near, rank in orders]
+        for at in range(0, count if count > 1 else 0, ROWS):
+            rows = np.arange(at, min(at + ROWS, count))
+            ahead, back = (np.stack([_with_all(*x, i) for i in rows]) for x in near)
+            for attempt in range(2):
+                reach_back = np.minimum(back, np.minimum.outer(high[own][rows], high[own]))
+                reach_ahead = np.minimum(ahead, LENGTH - np.maximum.outer(low[own][rows], low[own]))
+                found = reach_back + reach_ahead >= LENGTH
+                found[np.arange(len(rows)), rows] = False
+                most, least = np.where(found, reach_back, -1), LENGTH - np.where(found, reach_ahead, -1)
+                partners = most.argmax(1), least.argmin(1)
+                hit = np.flatnonzero(found.any(1))
+                offsets = most.max(1), least.min(1)
+                if all(
+                    _string(suffixes, start + at + i, d[i]) == _string(suffixes, start + p[i], d[i])
+                    for i in hit
+                    for p, d in zip(partners, offsets)
+                ):
+                    break
+                ahead, back = (np.stack([_by_bytes(contexts[own], left[own], i, x) for i in rows]) for x in (True, False))
+            out[start + at + hit, 0], out[start + at + hit, 1] = offsets[1][hit], offsets[0][hit]
     return out
 
 
@@ -260,8 +257,19 @@ def _string(suffixes: Suffixes, i: int, offset: int) -> bytes:
     return suffixes.bytes[at : at + LENGTH]
 
 
+def _stretches(table: pa.Table) -> Iterator[pa.Table]:
+    """A table of groups in pieces of about ``STRETCH`` rows that keep groups whole."""
+    key = table.column("key").to_numpy()
+    ends = np.append(np.flatnonzero(np.diff(key)) + 1, len(key))
+    at = 0
+    while at < len(key):
+        end = int(ends[min(np.searchsorted(ends, at + STRETCH), len(ends) - 1)])
+        yield table.slice(at, end - at)
+        at = end
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in whole_groups(batches, "key"):
+    for table in (t for groups in whole_groups(batches, "key") for t in _stretches(groups)):
         key = table.column("key").to_numpy()
         contexts = table.column("context").to_pylist()
         left, low, high = (table.column(n).to_numpy().astype(np.int64) for n in ("left", "low", "high"))
@@ -343,6 +351,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     contexts = stage(contexts.withColumn("ck", F.unhex(F.substring(F.sha2(named, 256), 1, 32))), "suffix-contexts")
     different = contexts.groupBy("ck", "h", "left", "context").agg(F.count("*").alias("n"))
     different = stage(different, "suffix-different")
+    release(texts.sparkSession)
     ranges = _ranges(different.drop("n"))
     own = F.lit(LENGTH) - (F.octet_length("context") - F.col("left"))
     several = different.where("n > 1").select("ck", own.cast("long").alias("least"), F.col("left").alias("most"))
@@ -397,6 +406,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", with_text: bool = True)
     texts = docs.select(F.col(key).alias("key"), text.alias("text"))
     texts = texts.withColumn("tk", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
     spans = stage(repeated_spans(texts), "suffix-spans")
+    release(docs.sparkSession)
     joined = attach(texts, spans, ["tk"]).select(F.col("key").alias("__key"), "text", "spans")
     columns = f"__key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(_remove(with_text), columns + ", kept binary" * with_text).withColumnRenamed("__key", key)
