@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most documents of each label that are fitted, and most bytes of a document among them.
-SAMPLE, SAMPLE_BYTES = 3000, 100_000
+SAMPLE, SAMPLE_BYTES = 1500, 20_000
 
-ROUNDS, RATE, PENALTY = 200, 1.0, 1e-4
+ROUNDS, RATE, PENALTY = 150, 0.2, 1e-4
 
 #: Bytes that are turned into features at once.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 # Kinds of bytes.
 OTHER, UPPER, LOWER, DIGIT, BLANK, STOP, PIPE, MARK, SHOUT, HIGH, TAIL = range(11)
@@ -211,36 +211,48 @@ def train(lines: Lines, labels: np.ndarray) -> Field:
     w, pairs = np.zeros(lines.features.shape[1]), np.zeros((2, 2))
     w2, pairs2 = np.full_like(w, 1e-8), np.full_like(pairs, 1e-8)
     for _ in range(ROUNDS):
-        good, joint = _marginals(lines.features @ w, lines.starts, pairs, True)
-        step = lines.features.T @ (of - good) / n - PENALTY * w
+        good, joint = _marginals(lines.features @ w.astype(np.float32), lines.starts, pairs, True)
+        step = lines.features.T @ ((of - good) / n).astype(np.float32) - PENALTY * w
         step_pairs = (seen - joint) / n - 10 * PENALTY * pairs
         w2 += step**2
         pairs2 += step_pairs**2
-        w += RATE * 0.2 * step / np.sqrt(w2)
-        pairs += RATE * 0.2 * step_pairs / np.sqrt(pairs2)
-    return Field(w, pairs, float(labels.mean()))
+        w += RATE * step / np.sqrt(w2)
+        pairs += RATE * step_pairs / np.sqrt(pairs2)
+    return Field(w.astype(np.float32), pairs, float(labels.mean()))
 
 
-def sample(labelled: DataFrame) -> DataFrame:
-    """At most ``SAMPLE`` documents of each label, by a hash of the text, none beyond ``SAMPLE_BYTES``."""
-    rows = labelled.where(f"label IS NOT NULL AND octet_length(text) BETWEEN 1 AND {SAMPLE_BYTES}")
-    rows = rows.select(F.col("text").cast("binary").alias("text"), F.col("label").cast("int").alias("label"))
-    drawn = rows.withColumn("draw", F.xxhash64("text"))
-    picked = [drawn.where(F.col("label") == v).orderBy("draw", "text").limit(SAMPLE) for v in (0, 1)]
-    return picked[0].unionByName(picked[1])
+def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(text, label) of at most ``SAMPLE`` documents of each label, by a hash of the key, none beyond
+    ``SAMPLE_BYTES``. Keys alone are drawn; the few texts are then read by a broadcast of them."""
+    known = labels.where("label IS NOT NULL").select(F.col(key).alias("__key"), F.col("label").cast("int").alias("label"))
+    sizes = docs.select(F.col(key).alias("__key"), F.octet_length("text").alias("bytes"))
+    rows = sizes.where(F.col("bytes").between(1, SAMPLE_BYTES)).join(known, "__key").withColumn("draw", F.xxhash64("__key"))
+    picked = [rows.where(F.col("label") == v).orderBy("draw", "__key").limit(SAMPLE) for v in (0, 1)]
+    drawn = picked[0].unionByName(picked[1]).select("__key", "label")
+    texts = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select(F.col(key).alias("__key"), F.col("text").cast("binary").alias("text"))
+    return texts.join(F.broadcast(drawn), "__key").orderBy(F.xxhash64("__key"), "text").limit(2 * SAMPLE)
 
 
-def fit(labelled: DataFrame) -> Field:
-    """The field fitted on a sample of (text, label); without both labels it knows their share alone.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Field:
+    """The field fitted on a sample of ``docs`` (key, text) with ``labels`` (key, label of 0 or 1).
 
-    The share of good documents, which an empty text is scored by, is that of the sample. It is even
-    unless a label has few documents.
+    The share of good documents, which an empty text is scored by, is that of the sample; it is even
+    unless a label has few documents. Without both labels nothing else is known.
     """
-    rows = sample(labelled).select("text", "label").toArrow()
-    labels = rows["label"].to_numpy().astype(float)
-    if len(set(labels.tolist())) < 2:
-        return Field(np.zeros(FEATURES), np.zeros((2, 2)), float(labels.mean()) if len(labels) else 0.5)
-    return train(lines_of(rows["text"].to_pylist()), labels)
+    rows = sample(docs, labels, key).select("text", "label").toArrow()
+    labels_, texts = rows["label"].to_numpy().astype(float), rows["text"].to_pylist()
+    if len(set(labels_.tolist())) < 2:
+        return Field(np.zeros(FEATURES, np.float32), np.zeros((2, 2)), float(labels_.mean()) if len(labels_) else 0.5)
+    parts = [lines_of(part) for part in _batches(texts)]
+    before = np.cumsum([0, *[len(p.lengths) for p in parts]])
+    return train(
+        Lines(
+            np.concatenate([p.features for p in parts]),
+            np.concatenate([p.lengths for p in parts]),
+            np.concatenate([p.starts + n for p, n in zip(parts, before)]),
+        ),
+        labels_,
+    )
 
 
 def _batches(texts: list[bytes]) -> Iterator[list[bytes]]:

@@ -97,9 +97,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_line_field_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
-    labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    labelled = docs.where("NOT held_out").select("doc_id", "text").join(labels, F.col("doc_id") == F.col("id"))
-    scored = quality.with_quality(docs.select("doc_id", "held_out", "text"), quality.fit(labelled))
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    field = quality.fit(docs.where("NOT held_out").select("doc_id", "text"), labels)
+    scored = quality.with_quality(docs.select("doc_id", "held_out", "text"), field)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
