@@ -17,17 +17,17 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--layer", default="raw", choices=["raw", "cleaned", "curated"])
     parser.add_argument("--null-policy", default="drop", choices=["drop", "keep"])
     parser.add_argument("--json-lines", action="store_true", help="raw files hold one document per line")
-    parser.add_argument("--pattern", default="*.json", help="names of the raw files")
+    parser.add_argument("--pattern", help="names of the raw files; landed lines and *.json if not given")
     args = parser.parse_args(argv)
     spark = build_session(args.job)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if args.job == "raw-to-cleaned":
-        print(raw_to_cleaned(spark, args.base, args.date, args.null_policy, not args.json_lines, args.pattern))
+        print(raw_to_cleaned(spark, args.base, args.date, args.null_policy, False if args.json_lines else None, args.pattern))
     elif args.job == "cleaned-to-curated":
         cleaned_to_curated(spark, args.base, now)
     else:
         status = run_validation(
-            spark, args.base, args.layer, args.date, now, multi_line=not args.json_lines, pattern=args.pattern
+            spark, args.base, args.layer, args.date, now, multi_line=False if args.json_lines else None, pattern=args.pattern
         )
         print(status)
         return 0 if status == "PASS" else 1

@@ -84,7 +84,7 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("_n"),
     )
     if by:
-        bracketed = _join(values, sketch, group)
+        bracketed = null_safe_join(values, sketch, group)
     else:  # one entry per column: read as a scalar, so the values need no shuffle to meet it
         entry = F.struct("_col", F.struct("_b", "_n"))
         lookup = sketch.agg(F.map_from_entries(F.collect_list(entry))).scalar()
@@ -118,7 +118,7 @@ def exact_quantiles(
         F.col("_hit._before").alias("_before"),
     )
     found = (
-        _join(counted, cells, [*group, "_cell"])
+        null_safe_join(counted, cells, [*group, "_cell"])
         .withColumn("_upto", F.col("_before") + F.sum("_c").over(rising.orderBy("_at")))
         .filter(reached)
     )
@@ -126,11 +126,11 @@ def exact_quantiles(
     return found.groupBy(*by).agg(*picked)
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys``, nulls being equal."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, nulls being equal; the keys are those of ``left``."""
     same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
     extra = [f"r.{c}" for c in right.columns if c not in keys]
-    return left.alias("l").join(right.alias("r"), same).select("l.*", *extra)
+    return left.alias("l").join(right.alias("r"), same, how).select("l.*", *extra)
 
 
 def impute(
@@ -138,7 +138,7 @@ def impute(
 ) -> DataFrame:
     """Fill nulls from ``medians``, then from ``defaults``.
 
-    Without ``by`` the medians are one row, read as a scalar subquery; with ``by`` they are joined.
+    Without ``by`` the medians are one row, read as a scalar subquery; with ``by`` they are joined, a null group to its own.
     """
     by = list(by)
     if medians is None:
@@ -146,7 +146,7 @@ def impute(
     known = [c for c in medians.columns if c not in by]
     fill = F.struct(*[F.col(c) for c in known])
     if by:
-        df = df.join(medians.select(*by, fill.alias("_fill")), by, "left")
+        df = null_safe_join(df, medians.select(*by, fill.alias("_fill")), by, "left")
     else:
         df = df.withColumn("_fill", medians.select(fill).scalar())
     filled = {}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.checks import count_if
+from strata.operators.clean import exact_quantiles, null_safe_join
 from strata.params import RetentionRule
 
 
@@ -129,14 +130,19 @@ def active_alarms(evaluated: DataFrame, rules: list[AlarmRule], as_of: Column) -
 
 
 def run_kpis(runs: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Number of runs, success rate in percent, median duration of the successful runs, mean records."""
-    ok = F.col("status") == "PASS"
-    return runs.groupBy(*by).agg(
+    """Number of runs, success rate in percent, exact median duration of the successful runs, mean records."""
+    ok, by = F.col("status") == "PASS", list(by)
+    totals = runs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("runs"),
         (100.0 * count_if(ok) / F.count(F.lit(1))).alias("success_rate"),
-        F.percentile_approx(F.when(ok, F.col("duration")), 0.5, 100_000).alias("p50_duration"),
         F.avg("records").alias("avg_records"),
     )
+    durations = runs.filter(ok).select(*by, F.col("duration").alias("p50_duration"))
+    medians = exact_quantiles(durations, ["p50_duration"], 0.5, by)
+    median = F.col("p50_duration") if by else medians.select("p50_duration").scalar()
+    if by:
+        totals = null_safe_join(totals, medians, by, "left")
+    return totals.select(*by, "runs", "success_rate", median.alias("p50_duration"), "avg_records")
 
 
 def status_summary(results: DataFrame, by: list[str] = ()) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -22,6 +21,7 @@ def look_back(
     rows: int,
     exprs: dict[str, OverSeries],
     chunk: Column | None = None,
+    coarser: Column | None = None,
 ) -> DataFrame:
     """Add ``exprs`` over the series of each ``by`` group, none of which looks back over ``rows`` rows.
 
@@ -29,7 +29,8 @@ def look_back(
     up so that no task holds a whole one. Inside a chunk all rows but the first ``rows`` have their
     full frame. Those first ones are worked out again among the first and last ``rows`` rows of the
     series' chunks: every row that such a frame reaches is one of these. Frames stay counted in rows,
-    so the result is that of one window over the whole series.
+    so the result is that of one window over the whole series. Where chunks are many, ``coarser``, a
+    value that joins successive chunks, cuts the rows at their edges up in the same way.
     """
     series = Window.partitionBy(*by).orderBy(*order)
     if chunk is None:
@@ -40,20 +41,20 @@ def look_back(
     placed = cut.withColumns({"_at": F.row_number().over(local), "_len": F.count(F.lit(1)).over(whole)})
     inner = placed.withColumns({alias: fn(local) for alias, fn in exprs.items()}).filter(F.col("_at") > rows)
     edges = placed.filter((F.col("_at") <= rows) | (F.col("_len") - F.col("_at") < rows))
-    heads = edges.withColumns({alias: fn(series) for alias, fn in exprs.items()}).filter(F.col("_at") <= rows)
-    return inner.unionByName(heads).drop("_chunk", "_at", "_len")
+    edges = edges.withColumnsRenamed({"_at": "_place", "_len": "_size"}).drop("_chunk")
+    heads = look_back(edges, by, order, rows, exprs, coarser).filter(F.col("_place") <= rows).drop("_place", "_size")
+    return inner.drop("_chunk", "_at", "_len").unionByName(heads)
 
 
-def even_chunks(df: DataFrame, by: list[str], order: list[str], rows: int = 1_000_000, most: int = 20_000) -> DataFrame:
-    """``df`` with a column ``_part`` to cut its series at, about ``rows`` rows each.
+def even_chunks(df: DataFrame, by: list[str], order: list[str], chunks: int | None = None) -> DataFrame:
+    """``df`` with a column ``_part`` to cut its series at, ``chunks`` in all or as many as the bytes ask for.
 
     For series of any distribution, also where one moment holds much of the table: Spark samples the
     rows and ranges them by series and order, so only rows equal in both stay together. The ranges are
-    fixed by writing them, since a second sample would cut elsewhere. Beyond ``most`` chunks the chunks
-    grow instead.
+    fixed by writing them, since a second sample would cut elsewhere. Parts rise along each series.
     """
-    chunks = min(max(math.ceil(df.count() / rows), 1), most)
-    ranged = df.repartitionByRange(chunks, *by, *order).withColumn("_part", F.spark_partition_id())
+    ranges = [chunks] if chunks else []
+    ranged = df.repartitionByRange(*ranges, *by, *order).withColumn("_part", F.spark_partition_id())
     return stage(ranged, "chunks")
 
 

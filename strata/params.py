@@ -15,7 +15,6 @@ class QualityParams:
     history_runs: int = 30
     anomaly_min_points: int = 3
     max_age_hours: int = 26
-    fields_checked_for_nulls: int = 5
 
 
 @dataclass(frozen=True)

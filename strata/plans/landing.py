@@ -20,15 +20,17 @@ def land_documents(
     date: str,
     ingested_at: Column,
     compress: bool = True,
+    per_file: int = 20_000,
 ) -> DataFrame:
     """Write the documents of a run to the raw layer, one envelope per line, and give their statuses.
 
     One row per source and status (``success``, ``failed``) with the number of documents and of
-    records. A document that is not JSON is counted as failed and not landed.
+    records. A document that is not JSON is counted as failed and not landed. A file holds at most
+    ``per_file`` documents, as a compressed one is read by a single task.
     """
     wrapped = wrap_envelope(df, payload, source, F.lit(date), ingested_at)
     wrapped = stage(wrapped.select(source.alias("source"), "status", "record_count", "envelope"), "landing")
-    writer = wrapped.filter(F.col("status") == "success").select("envelope").write.mode("append")
+    writer = wrapped.filter(F.col("status") == "success").select("envelope").write.mode("append").option("maxRecordsPerFile", per_file)
     if compress:
         writer = writer.option("compression", "gzip")
     writer.text(f"{base}/raw/{dataset}/{folder_of(date)}")

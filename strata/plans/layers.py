@@ -17,7 +17,7 @@ from strata.params import QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
 from strata.session import stage
-from strata.sinks.tables import emit_metrics, record_history, write_cleaned, write_curated, write_report
+from strata.sinks.tables import ROWS, emit_metrics, observed, record_history, write_cleaned, write_curated, write_report
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
 
@@ -69,7 +69,7 @@ def layer_suite(name: str, expected: list[str], params: QualityParams) -> Suite:
         .if_any_rows()
         .required(expected, "schema_check", lead="Missing fields")
     )
-    for col in expected[: params.fields_checked_for_nulls]:
+    for col in expected:
         suite.null_rate(col, params.max_null_rate, word=" null")
     return suite
 
@@ -170,7 +170,7 @@ def partition_folder(base: str, layer: str, dataset: str, date: str) -> str:
 
 
 def layer_check(
-    spark: SparkSession, base: str, layer: str, dataset: str, date: str, multi_line: bool = True, pattern: str = "*.json"
+    spark: SparkSession, base: str, layer: str, dataset: str, date: str, multi_line: bool | None = None, pattern: str | None = None
 ) -> LayerCheck:
     """One date of a dataset, read in the format of its layer, with the row counts of earlier runs."""
     folder = partition_folder(base, layer, dataset, date)
@@ -186,7 +186,7 @@ def layer_check(
         runs = spark.read.schema("row_count bigint, layer string, dataset string, run_date date").parquet(f"{base}/history")
         earlier = F.col("run_date") < F.lit(date).cast("date")
         history = runs.filter((F.col("layer") == layer) & (F.col("dataset") == dataset) & earlier)
-    files = file_inventory(spark, folder, pattern if layer == "raw" else "*.parquet")
+    files = file_inventory(spark, folder, (pattern or "*") if layer == "raw" else "*.parquet")
     return LayerCheck(layer, dataset, files, rows, history=history)
 
 
@@ -197,8 +197,8 @@ def run_validation(
     date: str,
     as_of: dt.datetime,
     datasets: list[str] | None = None,
-    multi_line: bool = True,
-    pattern: str = "*.json",
+    multi_line: bool | None = None,
+    pattern: str | None = None,
 ) -> str:
     """Validate datasets of a layer for one date; returns the overall PASS or FAIL.
 
@@ -232,24 +232,35 @@ def run_validation(
 
 
 def raw_to_cleaned(
-    spark: SparkSession, base: str, date: str, null_policy: str = "drop", multi_line: bool = True, pattern: str = "*.json"
+    spark: SparkSession, base: str, date: str, null_policy: str = "drop", multi_line: bool | None = None, pattern: str | None = None
 ) -> dict[str, dict[str, int]]:
     """Clean the documents landed on ``date`` and replace the cleaned partitions they fall in.
 
-    Returns the row and null counts of each dataset, taken along while writing. Documents that cannot
-    be read, and rows without a time, have no place in the cleaned tables; validating the raw layer shows
-    the former as nulls in the envelope's columns.
+    Returns the row and null counts of each dataset, taken along while writing, and under ``_rejected``
+    and ``_unreadable`` the rows without a key and the documents that are no JSON. Both are kept under
+    ``rejected`` in the lake. A dataset of which no row can be kept raises, as its earlier rows would
+    stand for the new ones.
     """
     feeds = {
-        "weather": lambda raw: hourly.clean(raw, null_policy)[0],
-        "crypto": lambda raw: price.clean(raw)[0],
+        "weather": lambda raw: hourly.clean(raw, null_policy),
+        "crypto": lambda raw: price.clean(raw),
     }
     counts = {}
     for dataset, clean in feeds.items():
         raw = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
+        good, rejected = clean(raw)
+        lost = {"_rejected": rejected, "_unreadable": raw.filter(F.col("_corrupt_record").isNotNull())}
+        counts[dataset] = {}
+        for kind, rows in lost.items():
+            counted = Observation(f"{dataset}{kind}")
+            target = f"{base}/rejected/{dataset}/{kind.strip('_')}/{folder_of(date)}"
+            observed(rows, counted).write.mode("overwrite").parquet(target)
+            counts[dataset][kind] = counted.get[ROWS]
         seen = Observation(f"cleaned_{dataset}")
-        write_cleaned(clean(raw), f"{base}/cleaned/{dataset}", seen=seen)
-        counts[dataset] = seen.get
+        write_cleaned(good, f"{base}/cleaned/{dataset}", seen=seen)
+        counts[dataset] = seen.get | counts[dataset]
+        if not counts[dataset][ROWS]:
+            raise MissingLayerError(f"no row of {dataset} on {date} could be kept")
     return counts
 
 

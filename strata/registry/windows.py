@@ -66,8 +66,8 @@ def rolling_events(spark, sf_dir):
     }
     rows = readings(spark, sf_dir).select("event_id", "source", "ts", "temperature_c")
     by, order = ["source"], ["ts", "event_id"]
-    # Small chunks, so that the small tables are cut too; their number has a bound.
-    out = look_back(even_chunks(rows, by, order, rows=2_000), by, order, 23, exprs, chunk=F.col("_part"))
+    parts = even_chunks(rows, by, order, chunks=16)
+    out = look_back(parts, by, order, 23, exprs, chunk=F.col("_part"), coarser=F.floor(F.col("_part") / 4))
     return out.select("event_id", "source", *exprs)
 
 

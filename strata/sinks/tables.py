@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import folder_of, partition_parts
+from strata.params import QUALITY
+from strata.session import delete_path
 
 ROWS = "_rows"
 
@@ -62,9 +64,16 @@ def emit_metrics(points: DataFrame, path: str) -> None:
     dated.write.mode("append").partitionBy("metric_date").parquet(path)
 
 
-def record_history(counts: DataFrame, path: str) -> None:
+def record_history(counts: DataFrame, path: str, keep: int = QUALITY.history_runs) -> None:
     """Keep the row count of a run: a rerun of the same date replaces its count.
 
-    ``counts`` has ``layer, dataset, run_date, row_count``; there is one row per dataset and run.
+    ``counts`` has ``layer, dataset, run_date, row_count``; there is one row per dataset and run. The
+    newest ``keep`` runs of each dataset stay, and the folders of older ones are removed.
     """
-    write_partitioned(counts, path, ["layer", "dataset", "run_date"])
+    by = ["layer", "dataset", "run_date"]
+    write_partitioned(counts, path, by)
+    spark = counts.sparkSession
+    newest = Window.partitionBy("layer", "dataset").orderBy(F.desc("run_date"))
+    runs = spark.read.parquet(path).select(*by).distinct().withColumn("_age", F.row_number().over(newest))
+    for run in runs.filter(F.col("_age") > keep).collect():
+        delete_path(spark, f"{path}/layer={run.layer}/dataset={run.dataset}/run_date={run.run_date}")

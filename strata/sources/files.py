@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,9 @@ from strata.schemas import envelope
 
 DATE_COLUMNS = ("year", "month", "day")
 
+#: Names of the files that `land_documents` writes.
+LANDED_FILES = "part-*.txt*"
+
 
 def read_envelopes(
     spark: SparkSession,
@@ -19,21 +21,29 @@ def read_envelopes(
     dataset: str,
     date: str,
     payload_schema: T.StructType,
-    multi_line: bool = True,
-    pattern: str = "*.json",
+    multi_line: bool | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """The documents landed for one dataset and execution date.
 
     The schema is given, so nothing is read to infer it. ``multi_line`` files hold one document each;
-    with ``multi_line=False`` each line is one and Spark splits large files. A missing folder raises.
+    with ``multi_line=False`` each line is one and Spark splits large files. By default both are read:
+    files named ``pattern`` (``*.json``) of one document, and those that landing has written, of one to a
+    line. A missing folder raises.
     """
-    return (
-        spark.read.schema(envelope(payload_schema))
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(f"{base}/{dataset}/{folder_of(date)}/{pattern}")
-    )
+    def read(whole: bool, names: str) -> DataFrame:
+        return (
+            spark.read.schema(envelope(payload_schema))
+            .option("multiLine", whole)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("pathGlobFilter", names)
+            .json(f"{base}/{dataset}/{folder_of(date)}")
+        )
+
+    if multi_line is None:
+        return read(True, pattern or "*.json").unionByName(read(False, LANDED_FILES))
+    return read(multi_line, pattern or "*.json")
 
 
 def read_layer(
@@ -63,13 +73,9 @@ def read_csv_upload(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether a file or folder exists; nothing is listed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def land_csv(

@@ -153,3 +153,10 @@ def test_enforce_schema(spark):
     day = dt.date(2024, 1, 5)
     assert [tuple(r) for r in good.collect()] == [(day, 5, 1.5), (day, 6, None)]
     assert [r.rejected for r in rejected.collect()] == [["date"], ["date", "hour"]]
+
+
+def test_null_groups_are_filled_with_their_own_median(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, None), ("a", 5.0), ("a", None), ("b", None)], "g string, v double")
+    filled = impute(df, {"v": 99.0}, exact_quantiles(df, ["v"], by=["g"]), ["g"])
+    got = sorted((r.g or "", r.v) for r in filled.collect())
+    assert got == [("", 1.0), ("", 1.0), ("", 3.0), ("a", 5.0), ("a", 5.0), ("b", 99.0)]

@@ -109,7 +109,7 @@ def test_validation_of_each_layer(spark, lake):
     assert raw["weather"]["schema_check"] == "PASS" and raw["weather"]["min_row_count"] == "FAIL"
     assert run_validation(spark, base, "cleaned", "2024-01-06", as_of, ["weather"]) == "PASS"
     report, cleaned = statuses(spark, base, "cleaned", "2024-01-06")
-    assert report.overall_status == "PASS" and report.datasets[0].passed == len(cleaned["weather"]) == 8
+    assert report.overall_status == "PASS" and report.datasets[0].passed == len(cleaned["weather"]) == 9
     assert run_validation(spark, base, "curated", "2024-01-06", as_of) == "FAIL"
     points = spark.read.parquet(f"{base}/metrics")
     assert points.filter("name = 'RowCount' AND dimensions['Dataset'] = 'weather'").agg(F.max("value")).head()[0] == 24.0
