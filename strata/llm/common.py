@@ -42,15 +42,17 @@ def fold(key: str, parts: int) -> Column:
     return F.pmod(crc, F.lit(parts)).cast("int")
 
 
-def attach(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left", alike: bool = False) -> DataFrame:
     """``rows`` with the columns of ``facts``, which holds one row for each value of ``keys``.
 
     A key may hold a third of ``rows``. Both sides are shuffled for this join alone, as no earlier
     partitioning fits null-safe keys; so adaptive execution can split a heavy partition of ``rows``
-    and give each piece its copy of the one fact. Null keys match each other.
+    and give each piece its copy of the one fact. Null keys match each other. ``alike`` plans the same
+    join at every size, where Spark would broadcast facts that happen to be few.
     """
     renamed = facts.select(*[F.col(k).alias(f"__{k}") if k in keys else F.col(k) for k in facts.columns])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    renamed = renamed.hint("merge") if alike else renamed
     return rows.join(renamed, same, how).drop(*[f"__{k}" for k in keys])
 
 

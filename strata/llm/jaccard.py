@@ -10,10 +10,11 @@ Only the tokens in the lowest part of the hash range are counted, one and a half
 they stand first, by their counts, and the others follow by hash. Tokens without a second document
 come before all others, so a document with enough of them is done.
 
-Equal sets are one. A group is named by its smallest member and holds all documents that share a token
-with it; large groups are dealt to blocks, which are compared pairwise, and a block gives a tree of links
-rather than all of them. Every document is first compared in one of its groups; the groups that are
-then still in several components are compared in full, so no link is lost.
+Equal sets are one. A group is named by its smallest member, its center, and holds all sets that share a
+token with it. Every set is first compared in one of its groups; what is compared together gives a tree
+of links rather than all of them. Then the tokens whose sets are still in several components are looked
+at again, and their sets compared in full, so no link is lost. Large groups are dealt to blocks, which are
+compared pairwise.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import attach, mixed, whole_groups
 from strata.llm.components import components
-from strata.session import stage
+from strata.session import release, stage, unstage
 
 #: Bytes that are hashed at once.
 PIECE = 2 << 20
 
-#: Documents of a block, and tokens that a table of documents by tokens has at once.
+#: Sets of a block, and tokens that a table of sets by tokens has at once.
 BLOCK, SLAB = 256, 4096
 
 #: Prefixes of a document that are counted for the order by rarity.
@@ -152,9 +153,12 @@ def _sketch(n: int, percent: int):
 
 def _full(n: int):
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sets that are asked for; a key may repeat with other texts."""
         for batch in (p for b in batches for p in _parts(b)):
             sets = shingle_sets(batch.column("__text").to_pylist(), n)
-            yield pa.record_batch([pa.array(set_ids(sets)), _lists(sets)], names=["sid", "tokens"])
+            at = np.flatnonzero(set_ids(sets) == batch.column("sid").to_numpy()) if sets else np.zeros(0, np.int64)
+            sids, cells = (batch.column(c).take(pa.array(at)) for c in ("sid", "cells"))
+            yield pa.record_batch([sids, cells, _lists([sets[i] for i in at])], names=["sid", "cells", "tokens"])
 
     return full
 
@@ -218,10 +222,10 @@ def _prefixes(sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _meetings(prefixes: DataFrame) -> DataFrame:
-    """(center, sid): the groups, each with all sets that share a prefix token with its center."""
+    """(token, sid, center): the sets that share a prefix token, and the smallest of them."""
     rows = prefixes.select("sid", F.explode("tokens").alias("token"))
     centers = rows.groupBy("token").agg(F.min("sid").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return attach(rows, centers, ["token"], "inner").select("center", "sid").distinct()
+    return attach(rows, centers, ["token"], "inner")
 
 
 def _shared_counts(lists: list[np.ndarray]) -> np.ndarray:
@@ -315,23 +319,29 @@ def _linker(percent: int):
     return link
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int, across: bool) -> DataFrame:
-    """(a, b): trees of links among the members (center, sid, part) of each group.
+CELLS = "array<struct<cell: bigint, part: bigint, side: int>>"
+
+
+def _cells(members: DataFrame, across: bool) -> DataFrame:
+    """(sid, cells): where each set is compared, from the members (center, sid, part) of groups.
 
     A group beyond ``BLOCK`` members is dealt to blocks, and each block is compared with itself and, if
     ``across``, with every other.
     """
     sizes = members.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = attach(members, sizes, ["center"], "inner").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    if across:
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    else:
-        rows = rows.withColumn("other", F.col("block"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block")
+    rows = rows.withColumn("other", others)
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
     cell = F.xxhash64("center", F.least("block", "other"), F.greatest("block", "other"))
-    rows = rows.select("sid", "part", side.cast("int").alias("side"), cell.alias("cell"))
-    full = attach(rows, sets, ["sid"], "inner").repartition("cell").sortWithinPartitions("cell")
-    return full.select("cell", "sid", "part", "side", "tokens").mapInArrow(_linker(percent), "a long, b long")
+    place = F.struct(cell.alias("cell"), F.col("part").alias("part"), side.cast("int").alias("side"))
+    return rows.groupBy("sid").agg(F.collect_list(place).alias("cells"))
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): trees of links among the sets (sid, cells, tokens) that are in one cell."""
+    rows = sets.select("sid", "tokens", F.explode("cells").alias("at")).select("at.*", "sid", "tokens")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_linker(percent), "a long, b long")
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
@@ -343,29 +353,48 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     reach null keys have a null component_id. Rows that repeat are documents of their own, with equal
     results. An empty table gives no rows. Columns other than key and text are not looked at.
     """
-    kind = docs.schema[key].dataType.simpleString()
+    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("__key"), F.col("text").cast("binary").alias("__text"))
-    sketches = stage(texts.mapInArrow(_sketch(n, percent), f"__key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
+    full = stage(texts.mapInArrow(_sketch(n, percent), f"__key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
+    prefixes = stage(_prefixes(full.where("n > 0"), percent), "jaccard-prefixes")
+    sketches = stage(full.drop("low"), "jaccard-sizes")
+    unstage(full)
     some = sketches.where("n > 0")
-    prefixes = stage(_prefixes(some, percent), "jaccard-prefixes")
     meetings = stage(_meetings(prefixes), "jaccard-meetings")
+    release(spark)
 
-    met = meetings.select("sid").distinct()
-    keys = attach(some.select("__key", "sid"), met, ["sid"], "semi").groupBy("sid").agg(F.min("__key").alias("__key"))
-    again = attach(texts, keys.select("__key").distinct(), ["__key"], "semi").select("__text")
-    sets = stage(attach(again.mapInArrow(_full(n), "sid long, tokens array<long>"), met, ["sid"], "semi").dropDuplicates(["sid"]), "jaccard-sets")
-
-    # First every set in the group of its smallest center, then what is left in several components.
+    # First every set in the group of its smallest center.
     home = meetings.groupBy("sid").agg(F.min("center").alias("center"))
     once = home.unionByName(home.select(F.col("center").alias("sid"), "center")).distinct()
-    found = stage(_links(once.withColumn("part", F.col("sid")), sets, percent, False), "jaccard-links")
-    parts = components(found)
-    placed = attach(meetings, parts.select(F.col("node").alias("sid"), "component"), ["sid"])
+    cells = _cells(once.withColumn("part", F.col("sid")), False)
+    keys = attach(some.select("__key", "sid"), cells.select("sid"), ["sid"], "semi").groupBy("sid").agg(F.min("__key").alias("__key"))
+    wanted = attach(texts, stage(attach(cells, keys, ["sid"], "inner"), "jaccard-cells"), ["__key"], "inner", alike=True)
+    wanted = wanted.select("sid", "cells", "__text")
+    sets = stage(wanted.mapInArrow(_full(n), f"sid long, cells {CELLS}, tokens array<long>"), "jaccard-sets")
+    found = stage(_links(sets, percent), "jaccard-links")
+    release(spark)
+
+    # Then the sets of tokens that are still in several components, unless one group has had them all.
+    parts = stage(components(found), "jaccard-components")
+    sized = attach(home, home.groupBy("center").agg(F.count("*").alias("members")), ["center"], "inner")
+    homes = sized.select("sid", F.col("center").alias("home"), (F.col("members") < BLOCK).alias("whole"))
+    placed = attach(attach(meetings, homes, ["sid"], "inner"), parts.select(F.col("node").alias("sid"), "component"), ["sid"])
     placed = placed.withColumn("part", F.coalesce("component", "sid")).drop("component")
-    split = placed.groupBy("center").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
-    open_groups = attach(placed, split.select("center"), ["center"], "semi")
-    more = stage(_links(open_groups, sets, percent, True), "jaccard-links")
-    parts = components(found.unionByName(more))
+    # A center was compared in its own group besides its home.
+    guest = F.when(F.col("sid") == F.col("center"), F.col("center")).otherwise(F.col("home"))
+    split = placed.groupBy("token").agg(
+        F.min("part").alias("least"),
+        F.max("part").alias("most"),
+        ((F.min("home") == F.max("home")) | (F.min(guest) == F.max(guest))).alias("together"),
+        F.min("whole").alias("whole"),
+    )
+    split = split.where("least < most AND NOT (together AND whole)")
+    left = attach(placed, split.select("token"), ["token"], "semi").select("center", "sid", "part").distinct()
+    again = attach(sets.select("sid", "tokens"), _cells(stage(left, "jaccard-left"), True), ["sid"], "inner")
+    more = stage(_links(again, percent), "jaccard-links")
+    parts = stage(components(found.unionByName(more)), "jaccard-components")
+    unstage(sets)
+    release(spark)
 
     named = attach(sketches.select("__key", "n", "sid"), parts.select(F.col("node").alias("sid"), "component"), ["sid"])
     named = named.withColumn("component", F.coalesce("component", "sid"))
@@ -379,4 +408,4 @@ def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     """The documents with the smallest key of each group, with all columns; those of null key all stay."""
     groups = similar_groups(docs.where(F.col(key).isNotNull()), n, percent, key)
     dropped = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return attach(docs, dropped, [key], "anti").select(*docs.columns)
+    return attach(docs, dropped, [key], "anti", alike=True).select(*docs.columns)
