@@ -41,8 +41,10 @@ def look_back(
     placed = cut.withColumns({"_at": F.row_number().over(local), "_len": F.count(F.lit(1)).over(whole)})
     inner = placed.withColumns({alias: fn(local) for alias, fn in exprs.items()}).filter(F.col("_at") > rows)
     edges = placed.filter((F.col("_at") <= rows) | (F.col("_len") - F.col("_at") < rows))
-    edges = edges.withColumnsRenamed({"_at": "_place", "_len": "_size"}).drop("_chunk")
-    heads = look_back(edges, by, order, rows, exprs, coarser).filter(F.col("_place") <= rows).drop("_place", "_size")
+    # The mark of a head needs a name of its own where the edges of edges are cut up.
+    mark = "_head" + "_" * sum(c.startswith("_head") for c in df.columns)
+    edges = edges.withColumn(mark, F.col("_at") <= rows).drop("_chunk", "_at", "_len")
+    heads = look_back(edges, by, order, rows, exprs, coarser).filter(mark).drop(mark)
     return inner.drop("_chunk", "_at", "_len").unionByName(heads)
 
 
