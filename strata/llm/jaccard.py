@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import attach, mixed, whole_groups
-from strata.llm.components import components
+from strata.llm.components import components, joined
 from strata.session import release, stage, unstage
 
 #: Bytes that are hashed at once.
@@ -301,7 +301,7 @@ def _linker(percent: int):
         for table in whole_groups(batches, "cell"):
             table = table.combine_chunks()
             cell = table.column("cell").to_numpy()
-            sid, part, side = (table.column(c).to_numpy() for c in ("sid", "part", "side"))
+            part, side = (table.column(c).to_numpy() for c in ("part", "side"))
             tokens = table.column("tokens").chunk(0) if table.num_rows else None
             if tokens is None:
                 continue
@@ -312,8 +312,8 @@ def _linker(percent: int):
                 if hi - lo > 1:
                     sets = [values[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]
                     for i, j in links_among(sets, side[lo:hi], part[lo:hi], percent):
-                        a.append(sid[lo + i])
-                        b.append(sid[lo + j])
+                        a.append(part[lo + i])
+                        b.append(part[lo + j])
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return link
@@ -326,21 +326,21 @@ def _cells(members: DataFrame, across: bool) -> DataFrame:
     """(sid, cells): where each set is compared, from the members (center, sid, part) of groups.
 
     A group beyond ``BLOCK`` members is dealt to blocks, and each block is compared with itself and, if
-    ``across``, with every other.
+    ``across``, with every other. A group of one has nothing to compare: its set has no cell there.
     """
-    sizes = members.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = members.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), (F.count("*") > 1).alias("several"))
     rows = attach(members, sizes, ["center"], "inner").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block")
     rows = rows.withColumn("other", others)
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
     cell = F.xxhash64("center", F.least("block", "other"), F.greatest("block", "other"))
     place = F.struct(cell.alias("cell"), F.col("part").alias("part"), side.cast("int").alias("side"))
-    return rows.groupBy("sid").agg(F.collect_list(place).alias("cells"))
+    return rows.groupBy("sid").agg(F.collect_list(F.when(F.col("several"), place)).alias("cells"))
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): trees of links among the sets (sid, cells, tokens) that are in one cell."""
-    rows = sets.select("sid", "tokens", F.explode("cells").alias("at")).select("at.*", "sid", "tokens")
+    """(a, b): trees of links between the parts of the sets (cells, tokens) that are in one cell."""
+    rows = sets.select("tokens", F.explode("cells").alias("at")).select("at.*", "tokens")
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_linker(percent), "a long, b long")
 
 
@@ -367,7 +367,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     home = meetings.groupBy("sid").agg(F.min("center").alias("center"))
     once = home.unionByName(home.select(F.col("center").alias("sid"), "center")).distinct()
     cells = _cells(once.withColumn("part", F.col("sid")), False)
-    keys = attach(some.select("__key", "sid"), cells.select("sid"), ["sid"], "semi").groupBy("sid").agg(F.min("__key").alias("__key"))
+    keys = some.groupBy("sid").agg(F.min("__key").alias("__key"))
     wanted = attach(texts, stage(attach(cells, keys, ["sid"], "inner"), "jaccard-cells"), ["__key"], "inner", alike=True)
     wanted = wanted.select("sid", "cells", "__text")
     sets = stage(wanted.mapInArrow(_full(n), f"sid long, cells {CELLS}, tokens array<long>"), "jaccard-sets")
@@ -390,9 +390,9 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     )
     split = split.where("least < most AND NOT (together AND whole)")
     left = attach(placed, split.select("token"), ["token"], "semi").select("center", "sid", "part").distinct()
-    again = attach(sets.select("sid", "tokens"), _cells(stage(left, "jaccard-left"), True), ["sid"], "inner")
+    again = attach(sets.select("sid", "tokens"), _cells(stage(left, "jaccard-left"), True), ["sid"], "inner", alike=True)
     more = stage(_links(again, percent), "jaccard-links")
-    parts = stage(components(found.unionByName(more)), "jaccard-components")
+    parts = stage(joined(parts, more), "jaccard-components")
     unstage(sets)
     release(spark)
 
