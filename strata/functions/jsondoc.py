@@ -1,6 +1,9 @@
 """Functions over JSON documents whose shape is not known beforehand.
 
-Each document is parsed once to a variant; the type tests and look-ups then work on that value.
+Documents may be of any size and repeat keys, of which the last counts. Every string of a document is
+marked first: read as text, a value then shows by its first character whether it is a string, a list or
+an object, which JSON text inside a string would otherwise leave open. Nesting beyond a thousand levels
+is not read.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ COUNT_KEYS = ("data", "records", "items", "results", "hourly")
 ROW_KEYS = ("data", "records", "items")
 
 END = uuid.uuid4().hex
+MARK = "s"
 
-ARRAY = "array<variant>"
-OBJECT = "map<string,variant>"
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
 
 
 def once(value: Column, fn: Callable[[Column], Column]) -> Column:
@@ -26,82 +29,132 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
-def parse(json_col: Column | str) -> Column:
-    """The document as a variant; null unless the whole text is one JSON value.
+def _escapes_spelt(text: Column) -> Column:
+    """JSON text in which a quote only ever starts or ends a string."""
+    return F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+
+
+def _marked(text: Column) -> Column:
+    return F.regexp_replace(_escapes_spelt(text), '"([^"]*)"', f'"{MARK}$1"')
+
+
+def _unmarked(text: Column) -> Column:
+    return F.regexp_replace(_escapes_spelt(text), f'"{MARK}([^"]*)"', '"$1"')
+
+
+def _listed(text: Column) -> Column:
+    return F.from_json(text, "array<string>", STRICT)
+
+
+def _members(text: Column) -> Column:
+    """Keys and values of an object in order, repeated keys included."""
+    return F.map_entries(F.from_json(text, "map<string,string>", STRICT))
+
+
+def document(json_col: Column | str) -> Column:
+    """The marked text of the document; null unless the whole text is one JSON value.
 
     The parser stops after the first value it finds, so the text is read as the first of two list
     items. Text that ends early, or goes on after its value, does not leave the second one in place.
     """
-    listed = _array(F.try_parse_json(F.concat(F.lit("["), json_col, F.lit(f',"{END}"]'))))
-    return once(
-        listed,
-        lambda found: F.when((F.size(found) == 2) & (F.try_variant_get(found[1], "$", "string") == END), found[0]),
-    )
+    text = F.col(json_col) if isinstance(json_col, str) else json_col
+    listed = _listed(F.concat(F.lit("["), _marked(text), F.lit(f',"{END}"]')))
+    whole = lambda found: (F.size(found) == 2) & (F.get(found, F.lit(1)) == END)
+    return once(listed, lambda found: F.when(whole(found), F.coalesce(F.get(found, F.lit(0)), F.lit("null"))))
+
 
+def _is_list(text: Column) -> Column:
+    return text.startswith("[")
 
-def _array(doc: Column, path: str = "$") -> Column:
-    return F.try_variant_get(doc, path, ARRAY)
 
+def _is_object(text: Column) -> Column:
+    return text.startswith("{")
 
-def _object(doc: Column, path: str = "$") -> Column:
-    return F.try_variant_get(doc, path, OBJECT)
 
+def _last(members: Column, key: str) -> Column:
+    return F.try_element_at(F.filter(members, lambda m: m["key"] == MARK + key), F.lit(-1))["value"]
 
-def _length(list_: Column) -> Column:
-    """Length of a list; null for null."""
-    return F.array_size(list_).cast("bigint")
+
+def _length(text: Column) -> Column:
+    """Length of a list; null for all else."""
+    return F.when(_is_list(text), F.json_array_length(text).cast("bigint"))
 
 
 def _total_length(members: Column) -> Column:
-    """Summed length of those values of an object that are lists; null for null."""
-    return F.aggregate(
-        F.map_values(members),
-        F.lit(0).cast("bigint"),
-        lambda total, value: total + F.coalesce(_length(_array(value)), F.lit(0).cast("bigint")),
+    """Summed length of those values of an object that are lists."""
+    placed = F.array_sort(
+        F.transform(members, lambda m, i: F.struct(m["key"].alias("key"), i.alias("i"), _length(m["value"]).alias("n")))
     )
+    last = lambda found: F.filter(found, lambda m, i: ~F.get(found, i + 1)["key"].eqNullSafe(m["key"]))
+    zero = F.lit(0).cast("bigint")
+    return F.aggregate(once(placed, last), zero, lambda total, m: total + F.coalesce(m["n"], zero))
 
 
-def _held(value: Column) -> Column:
-    return F.coalesce(_length(_array(value)), _total_length(_object(value)))
+def _held(text: Column) -> Column:
+    return F.when(_is_list(text), _length(text)).when(_is_object(text), _total_length(_members(text)))
 
 
 def record_count(json_col: Column | str) -> Column:
     """Best-effort number of records in a JSON text; null when the text is not JSON."""
+    single = F.lit(1).cast("bigint")
 
     def inside(members: Column) -> Column:
-        return F.coalesce(*[once(F.try_element_at(members, F.lit(key)), _held) for key in COUNT_KEYS])
+        return F.coalesce(*[once(_last(members, key), _held) for key in COUNT_KEYS])
 
     def counted(doc: Column) -> Column:
-        found = F.coalesce(_length(_array(doc)), once(_object(doc), inside), F.lit(1).cast("bigint"))
-        return F.when(doc.isNotNull(), found)
+        found = F.when(_is_list(doc), _length(doc)).when(_is_object(doc), once(_members(doc), inside))
+        return F.when(doc.isNotNull(), F.coalesce(found, single))
+
+    return once(document(json_col), counted)
 
-    return once(parse(json_col), counted)
 
+def top_keys(json_col: Column | str) -> Column:
+    """The keys of a document that is an object; null for all else."""
+    keys = lambda doc: F.when(_is_object(doc), F.transform(_members(doc), lambda m: F.substring(m["key"], 2, 2**31 - 1)))
+    return once(document(json_col), keys)
 
-def _filled(value: Column) -> Column:
+
+def _filled(text: Column) -> Column:
     """False for null, false, zero and empty text, lists and objects."""
-    text = F.to_json(value)
-    scalar = ~text.isin("null", "false", '""') & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
-    return F.coalesce(F.array_size(_array(value)) > 0, F.size(F.map_keys(_object(value))) > 0, scalar, F.lit(False))
+    scalar = ~text.isin("null", "false", MARK) & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
+    found = F.when(_is_list(text), _length(text) > 0).when(_is_object(text), F.size(_members(text)) > 0).otherwise(scalar)
+    return F.coalesce(found, F.lit(False))
 
 
 def unwrap_rows(df: DataFrame, json_col: str, row_schema: str) -> DataFrame:
     """One row per record of each document, read as ``row_schema`` (DDL) into column ``row``.
 
     A list holds its records; an object holds them under the first filled key of ``ROW_KEYS`` or is
-    itself the record. Bare values and text that is not JSON give no rows.
+    itself the record. Bare values and text that is not JSON give no rows. Values are cast to the
+    schema's types; in a record that repeats a key they must have them.
     """
 
     def inner(doc: Column) -> Column:
-        held = [once(F.try_variant_get(doc, f"$.{k}", "variant"), lambda m: F.when(_filled(m), m)) for k in ROW_KEYS]
-        return F.when(_array(doc).isNotNull(), doc).when(_object(doc).isNotNull(), F.coalesce(*held, doc))
+        held = lambda members: F.coalesce(*[once(_last(members, k), lambda m: F.when(_filled(m), m)) for k in ROW_KEYS])
+        return F.when(_is_list(doc), doc).when(_is_object(doc), F.coalesce(once(_members(doc), held), doc))
 
-    records = once(once(parse(json_col), inner), lambda found: F.coalesce(_array(found), F.array(found)))
-    return (
-        df.withColumn("_row", F.explode(F.filter(records, lambda r: r.isNotNull())))
-        .withColumn("row", F.try_variant_get("_row", "$", f"struct<{row_schema}>"))
-        .drop("_row")
-    )
+    def records(found: Column) -> Column:
+        listed = F.transform(_listed(found), lambda r: F.coalesce(r, F.lit("null")))
+        return F.when(_is_list(found), listed).when(found.isNotNull(), F.array(found))
+
+    type_ = f"struct<{row_schema}>"
+
+    def read(record: Column) -> Column:
+        value = F.try_parse_json(record)
+        repeated = F.when(value.isNull() & _is_object(record), F.from_json(record, type_, STRICT))
+        return F.coalesce(F.try_variant_get(value, "$", type_), repeated)
+
+    found = df.withColumn("_row", F.explode(once(once(document(json_col), inner), records)))
+    return found.withColumn("row", once(_unmarked(F.col("_row")), read)).drop("_row")
+
+
+def parse(json_col: Column | str) -> Column:
+    """The document as a variant; null unless the whole text is one JSON value that a variant can hold.
+
+    That leaves out repeated keys and text beyond the variant's size limit.
+    """
+    text = F.col(json_col) if isinstance(json_col, str) else json_col
+    return once(text, lambda t: F.when(document(t).isNotNull(), F.try_parse_json(t)))
 
 
 def extract_typed(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:

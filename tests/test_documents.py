@@ -25,6 +25,8 @@ SHAPES = [
     ({"hourly": {"time": [1, 2, 3], "t": [1, 2]}, "other": [1]}, 5),
     ({"results": 0, "hourly": [1]}, 1),
     ({"k": [1, 2]}, 1),
+    ({"data": "{\"a\":[1]}", "records": ["x]", "\"[", "\\"]}, 3),
+    ({"data": {"a": ["s\""], "b": "[1,2]", "c\"": [[1, 2], {}]}}, 3),
     ({}, 1),
     (3, 1),
     ("text", 1),
@@ -39,7 +41,38 @@ def test_record_count(spark):
     assert got == [n for _, n in SHAPES]
 
 
-@pytest.mark.parametrize("text", ["bad", "", '{"a":1', '{"a":1} x', '{"v":1},{"v":2}', None])
+REPEATED = [
+    ('{"data":[1],"data":[1,2]}', 2),
+    ('{"data":[1],"data":{"a":[1,2,3]}}', 3),
+    ('{"data":[1],"data":"[1]"}', 1),
+    ('{"data":[1,2],"data":null,"items":[1,2,3]}', 3),
+    ('{"data":{"a":[1],"b":[1],"a":[1,2,3]}}', 4),
+    ('{"data":{"a":[1],"a":7}}', 0),
+    ('{"k":1,"k":2}', 1),
+    ('{"d\\u0061ta":[1,2]}', 2),
+]
+
+
+def test_of_a_repeated_key_the_last_counts(spark):
+    df = documents(spark, *[text for text, _ in REPEATED])
+    wrapped = wrap_envelope(df, "doc", F.lit("s"), F.lit("2024-01-05"), F.lit("now")).orderBy("id").collect()
+    assert [(r.record_count, r.status) for r in wrapped] == [(n, "success") for _, n in REPEATED]
+    rows = documents(spark, '{"data":[{"v":1}],"data":[{"v":2},{"v":3,"v":4.5}]}')
+    assert [r.v for r in unwrap_rows(rows, "doc", "v double").select("row.v").collect()] == [2.0, 4.5]
+
+
+def test_document_beyond_the_limits_of_parsers(spark):
+    """140 MB of records, and one text of 25 MB."""
+    item = F.concat(F.lit('{"v":"'), F.repeat(F.lit("x"), 1000), F.lit('"}'))
+    many = F.concat(F.lit('{"data":['), F.array_join(F.array_repeat(item, 140_000), ","), F.lit("]}"))
+    long = F.concat(F.lit('{"data":["'), F.repeat(F.lit("x"), 25_000_000), F.lit('"]}'))
+    df = spark.range(2, numPartitions=1).select(F.when(F.col("id") == 0, many).otherwise(long).alias("doc"))
+    assert [r.n for r in df.select(record_count("doc").alias("n")).collect()] == [140_000, 1]
+    rows = unwrap_rows(df.limit(1), "doc", "v string").select(F.length("row.v").alias("n"))
+    assert rows.groupBy("n").count().collect() == [(1000, 140_000)]
+
+
+@pytest.mark.parametrize("text", ["bad", "{'a':1}", '{"a":"x\ny"}', '[1,]', '"a" "b"', "1],[2", "", '{"a":1', '{"a":1} x', '{"v":1},{"v":2}', None])
 def test_text_that_is_not_json(spark, text):
     df = spark.createDataFrame([(text,)], "doc string")
     assert df.select(record_count("doc").alias("n")).head().n is None
