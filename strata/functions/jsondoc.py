@@ -1,9 +1,8 @@
 """Functions over JSON documents whose shape is not known beforehand.
 
-Documents may be of any size and repeat keys, of which the last counts. Every string of a document is
-marked first: read as text, a value then shows by its first character whether it is a string, a list or
-an object, which JSON text inside a string would otherwise leave open. Nesting beyond a thousand levels
-is not read.
+Documents may be of any size and repeat keys, of which the last counts. Strings that start like a list
+or an object are marked first: read as text, each value then shows by its first character what it is.
+Nesting beyond a thousand levels is not read.
 """
 
 from __future__ import annotations
@@ -18,8 +17,12 @@ from pyspark.sql import functions as F
 COUNT_KEYS = ("data", "records", "items", "results", "hourly")
 ROW_KEYS = ("data", "records", "items")
 
-END = uuid.uuid4().hex
-MARK = "s"
+END, MARK = uuid.uuid4().hex, uuid.uuid4().hex
+
+# First characters by which a string could be taken for a list or an object, spelt out or escaped, and
+# further for null, false or a number of zero.
+NESTED = ("[", "{", "\\")
+BLANK = ("n", "f", "0", "-")
 
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
 
@@ -29,17 +32,15 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
-def _escapes_spelt(text: Column) -> Column:
-    """JSON text in which a quote only ever starts or ends a string."""
-    return F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
-
-
-def _marked(text: Column) -> Column:
-    return F.regexp_replace(_escapes_spelt(text), '"([^"]*)"', f'"{MARK}$1"')
+def _marked(text: Column, starts: tuple[str, ...]) -> Column:
+    """In valid JSON a quote stands before such a character only where a string starts, or within one."""
+    for start in starts:
+        text = F.replace(text, F.lit(f'"{start}'), F.lit(f'"{MARK}{start}'))
+    return text
 
 
 def _unmarked(text: Column) -> Column:
-    return F.regexp_replace(_escapes_spelt(text), f'"{MARK}([^"]*)"', '"$1"')
+    return F.replace(text, F.lit(MARK), F.lit(""))
 
 
 def _listed(text: Column) -> Column:
@@ -51,14 +52,14 @@ def _members(text: Column) -> Column:
     return F.map_entries(F.from_json(text, "map<string,string>", STRICT))
 
 
-def document(json_col: Column | str) -> Column:
+def document(json_col: Column | str, starts: tuple[str, ...] = NESTED) -> Column:
     """The marked text of the document; null unless the whole text is one JSON value.
 
     The parser stops after the first value it finds, so the text is read as the first of two list
     items. Text that ends early, or goes on after its value, does not leave the second one in place.
     """
     text = F.col(json_col) if isinstance(json_col, str) else json_col
-    listed = _listed(F.concat(F.lit("["), _marked(text), F.lit(f',"{END}"]')))
+    listed = _listed(F.concat(F.lit("["), _marked(text, starts), F.lit(f',"{END}"]')))
     whole = lambda found: (F.size(found) == 2) & (F.get(found, F.lit(1)) == END)
     return once(listed, lambda found: F.when(whole(found), F.coalesce(F.get(found, F.lit(0)), F.lit("null"))))
 
@@ -72,7 +73,7 @@ def _is_object(text: Column) -> Column:
 
 
 def _last(members: Column, key: str) -> Column:
-    return F.try_element_at(F.filter(members, lambda m: m["key"] == MARK + key), F.lit(-1))["value"]
+    return F.try_element_at(F.filter(members, lambda m: m["key"].isin(key, MARK + key)), F.lit(-1))["value"]
 
 
 def _length(text: Column) -> Column:
@@ -83,7 +84,7 @@ def _length(text: Column) -> Column:
 def _total_length(members: Column) -> Column:
     """Summed length of those values of an object that are lists."""
     placed = F.array_sort(
-        F.transform(members, lambda m, i: F.struct(m["key"].alias("key"), i.alias("i"), _length(m["value"]).alias("n")))
+        F.transform(members, lambda m, i: F.struct(_unmarked(m["key"]).alias("key"), i.alias("i"), _length(m["value"]).alias("n")))
     )
     last = lambda found: F.filter(found, lambda m, i: ~F.get(found, i + 1)["key"].eqNullSafe(m["key"]))
     zero = F.lit(0).cast("bigint")
@@ -110,13 +111,13 @@ def record_count(json_col: Column | str) -> Column:
 
 def top_keys(json_col: Column | str) -> Column:
     """The keys of a document that is an object; null for all else."""
-    keys = lambda doc: F.when(_is_object(doc), F.transform(_members(doc), lambda m: F.substring(m["key"], 2, 2**31 - 1)))
+    keys = lambda doc: F.when(_is_object(doc), F.transform(_members(doc), lambda m: _unmarked(m["key"])))
     return once(document(json_col), keys)
 
 
 def _filled(text: Column) -> Column:
     """False for null, false, zero and empty text, lists and objects."""
-    scalar = ~text.isin("null", "false", MARK) & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
+    scalar = ~text.isin("null", "false", "") & ~text.rlike(r"^-?0(\.0*)?([eE].*)?$")
     found = F.when(_is_list(text), _length(text) > 0).when(_is_object(text), F.size(_members(text)) > 0).otherwise(scalar)
     return F.coalesce(found, F.lit(False))
 
@@ -144,7 +145,7 @@ def unwrap_rows(df: DataFrame, json_col: str, row_schema: str) -> DataFrame:
         repeated = F.when(value.isNull() & _is_object(record), F.from_json(record, type_, STRICT))
         return F.coalesce(F.try_variant_get(value, "$", type_), repeated)
 
-    found = df.withColumn("_row", F.explode(once(once(document(json_col), inner), records)))
+    found = df.withColumn("_row", F.explode(once(once(document(json_col, NESTED + BLANK), inner), records)))
     return found.withColumn("row", once(_unmarked(F.col("_row")), read)).drop("_row")
 
 

@@ -50,6 +50,9 @@ REPEATED = [
     ('{"data":{"a":[1],"a":7}}', 0),
     ('{"k":1,"k":2}', 1),
     ('{"d\\u0061ta":[1,2]}', 2),
+    ('{"\\u0064ata":[1,2],"data":[1]}', 1),
+    ('{"data":"\\u005b1,2]","items":[1,2,3]}', 3),
+    ('{"data":{"a":"\\u005b1]","b":"\\"[","c":[1]}}', 1),
 ]
 
 
@@ -91,6 +94,9 @@ def test_text_that_is_not_json(spark, text):
         ({"data": 0, "records": False, "items": "", "v": 4}, [4.0]),
         ({"data": 0.0, "records": None, "v": 4}, [4.0]),
         ({"v": "abc"}, [None]),
+        ({"data": "0", "v": 4}, [None]),
+        ({"data": "null", "v": 4}, [None]),
+        ([{"v": "[1]", "w": "\"{"}, None, "x", [1]], [None] * 4),
         ({"w": 1}, [None]),
         ([], []),
         (7, []),
