@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import folder_of
 from strata.functions.jsondoc import wrap_envelope
 from strata.operators.monitor import points
-from strata.session import stage
+from strata.session import stage, unstage
 
 
 def land_documents(
@@ -25,18 +25,26 @@ def land_documents(
     """Write the documents of a run to the raw layer, one envelope per line, and give their statuses.
 
     One row per source and status (``success``, ``failed``) with the number of documents and of
-    records. A document that is not JSON is counted as failed and not landed. A file holds at most
-    ``per_file`` documents, as a compressed one is read by a single task.
+    records. A document that is not JSON is counted as failed and kept under ``rejected`` with its
+    source instead. A file holds at most ``per_file`` documents, as a compressed one is read by a
+    single task.
     """
     wrapped = wrap_envelope(df, payload, source, F.lit(date), ingested_at)
-    wrapped = stage(wrapped.select(source.alias("source"), "status", "record_count", "envelope"), "landing")
-    writer = wrapped.filter(F.col("status") == "success").select("envelope").write.mode("append").option("maxRecordsPerFile", per_file)
+    failed = F.col("status") == "failed"
+    kept = F.when(failed, F.col(payload)).alias("payload")
+    wrapped = stage(wrapped.select(source.alias("source"), "status", "record_count", "envelope", kept), "landing")
+    writer = wrapped.filter(~failed).select("envelope").write.mode("append").option("maxRecordsPerFile", per_file)
     if compress:
         writer = writer.option("compression", "gzip")
     writer.text(f"{base}/raw/{dataset}/{folder_of(date)}")
-    return wrapped.groupBy("source", "status").agg(
+    refused = wrapped.filter(failed).select("source", "payload")
+    refused.write.mode("append").parquet(f"{base}/rejected/{dataset}/refused/{folder_of(date)}")
+    counted = wrapped.groupBy("source", "status").agg(
         F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("records")
     )
+    counted = stage(counted, "landing-statuses")
+    unstage(wrapped)
+    return counted
 
 
 def landing_metrics(statuses: DataFrame, date: str, ts: Column) -> DataFrame:

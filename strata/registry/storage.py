@@ -93,11 +93,14 @@ def scan_date_range(spark, sf_dir):
 
 @query("scan_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_csv(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer")
+    """An upload with its columns in another order, one column more, quotes and line breaks in a value."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     upload, raw = scratch_dir(spark, "upload"), scratch_dir(spark, "raw")
-    customers.write.option("header", True).csv(upload)
-    status = land_csv(spark, upload, customers.schema, raw, "customers", "2024-02-01", "20240201T020000Z")
-    return read_csv_upload(spark, status.head().uri, customers.schema)
+    note = F.concat(F.lit('a "quoted", long\nnote of '), "c_custkey")
+    shuffled = customers.select(note.alias("note"), *reversed(customers.columns))
+    shuffled.write.option("header", True).option("escape", '"').csv(upload)
+    status = land_csv(spark, upload, raw, "customers", "2024-02-01", "20240201T020000Z")
+    return read_csv_upload(spark, status.head().uri, customers.schema, multi_line=True)
 
 
 @query("file_inventory")

@@ -68,8 +68,31 @@ def read_layer(
     return df.drop(*DATE_COLUMNS) if by_parts and not keep_partition_columns else df
 
 
-def read_csv_upload(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def read_csv_upload(
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False, corrupt: str | None = None
+) -> DataFrame:
+    """The columns of ``schema`` from CSV files, found by the names in the header, in whatever order.
+
+    Columns the files have besides are left out, those they lack are null. The files below ``path``
+    must have the same header, or reading raises. ``multi_line`` lets quoted values hold line breaks;
+    each file is then read by one task. ``corrupt`` names a column for the text of lines that do not
+    fit: their unfit values are null.
+    """
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    if file_inventory(spark, path).isEmpty():
+        found = spark.createDataFrame([], declared)
+        return found.withColumn(corrupt, F.lit(None).cast("string")) if corrupt else found
+    files = spark.read.option("recursiveFileLookup", True).option("header", True).option("escape", '"')
+    files = files.option("multiLine", multi_line)
+    names = files.csv(path).columns
+    types = {f.name: f.dataType for f in declared}
+    read = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    if corrupt:
+        read = read.add(corrupt, T.StringType())
+        files = files.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+    df = files.schema(read).option("enforceSchema", False).csv(path)
+    columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast(t).alias(c) for c, t in types.items()]
+    return df.select(*columns, *([corrupt] if corrupt else []))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -78,12 +101,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def land_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, raw_base: str, name: str, date: str, stamp: str
-) -> DataFrame:
-    """Copy the rows of an uploaded CSV into the raw layer and give one status row.
+def land_csv(spark: SparkSession, path: str, raw_base: str, name: str, date: str, stamp: str) -> DataFrame:
+    """Copy an uploaded CSV file, or a folder of them, into the raw layer and give one status row.
 
-    An empty or missing path is no failure: the row then says ``skipped`` and why.
+    The text is not parsed: each file's lines are copied as they are and in order, into one file of
+    its own, so that headers stay on top and quoted line breaks whole. Its parts are read by many
+    tasks and put in order on disk. A last line without a line break gets one. An empty or missing path
+    is no failure: the row then says ``skipped`` and why.
     """
     target, reason, size_kb = None, None, None
     if not path:
@@ -92,9 +116,14 @@ def land_csv(
         reason = "file not found"
     else:
         target = f"{raw_base}/flat_files/{folder_of(date)}/{name}_{stamp}.csv"
-        read_csv_upload(spark, path, schema).write.mode("overwrite").option("header", True).option(
-            "escape", '"'
-        ).csv(target)
+        lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path).select(
+            "value",
+            F.xxhash64("_metadata.file_path").alias("upload"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_line"),
+        )
+        ordered = lines.repartition("upload").sortWithinPartitions("upload", "_block", "_line")
+        ordered.select("value", "upload").write.mode("overwrite").option("lineSep", "\n").partitionBy("upload").text(target)
         size_kb = inventory_totals(file_inventory(spark, path)).head().bytes / 1024
     return spark.createDataFrame(
         [(name, "skipped" if reason else "success", target, reason, size_kb)],

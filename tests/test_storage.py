@@ -103,17 +103,53 @@ def test_landed_csv(spark, tmp_path):
     upload = tmp_path / "up.csv"
     upload.write_text('id,name\n1,"a, ""b"""\n2,\n')
     schema = "id int, name string"
-    row = land_csv(spark, str(upload), schema, str(tmp_path / "raw"), "orders", "2024-01-05", "T").head()
+    row = land_csv(spark, str(upload), str(tmp_path / "raw"), "orders", "2024-01-05", "T").head()
     assert row.size_kb == upload.stat().st_size / 1024
     assert row.status == "success" and row.uri.endswith("raw/flat_files/2024/01/05/orders_T.csv")
     rows = read_csv_upload(spark, row.uri, schema).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, 'a, "b"'), (2, None)]
 
 
+def test_csv_is_landed_byte_for_byte(spark, tmp_path):
+    texts = {
+        "a.csv": b'name,id,extra\r\n"bo\nb",7,z\r\n"c ""q""\n\n,d",8,\r\n',
+        "b.csv": b"name,id,extra\nbad,x,\nshort\n\xff\xfe,9,y\n",
+    }
+    (tmp_path / "up").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "up" / name).write_bytes(text)
+    row = land_csv(spark, str(tmp_path / "up"), str(tmp_path / "raw"), "people", "2024-01-05", "T").head()
+    landed = [p.read_bytes() for p in (tmp_path / "raw").rglob("part-*")]
+    assert sorted(landed) == sorted(texts.values())
+    rows = read_csv_upload(spark, row.uri, "id int, name string, absent date", True, "_bad").collect()
+    found = {r.name: (r.id, r.absent, r._bad is not None) for r in rows}
+    assert found["bo\nb"] == (7, None, False) and found['c "q"\n\n,d'] == (8, None, False)
+    assert found["bad"] == (None, None, True) and found["short"] == (None, None, True) and len(rows) == 5
+
+
+def test_a_csv_of_many_parts_keeps_its_order(spark, tmp_path):
+    upload = tmp_path / "long.csv"
+    upload.write_text("id\n" + "\n".join(str(i) for i in range(50_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        row = land_csv(spark, str(upload), str(tmp_path / "raw"), "ids", "2024-01-05", "T").head()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (landed,) = (tmp_path / "raw").rglob("part-*")
+    assert landed.read_text() == upload.read_text() + "\n"
+    assert read_csv_upload(spark, row.uri, "id int").count() == 50_000
+
+
+def test_csv_without_a_line(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("")
+    row = land_csv(spark, str(tmp_path / "none.csv"), str(tmp_path / "raw"), "none", "2024-01-05", "T").head()
+    assert row.status == "success" and read_csv_upload(spark, row.uri, "id int").count() == 0
+
+
 @pytest.mark.parametrize("path, reason", [("", "no path provided"), ("absent.csv", "file not found")])
 def test_csv_that_is_not_there_is_skipped(spark, tmp_path, path, reason):
     at = str(tmp_path / path) if path else ""
-    row = land_csv(spark, at, "id int", str(tmp_path / "raw"), "orders", "2024-01-05", "T").head()
+    row = land_csv(spark, at, str(tmp_path / "raw"), "orders", "2024-01-05", "T").head()
     assert (row.status, row.reason, row.uri) == ("skipped", reason, None)
     assert not (tmp_path / "raw").exists()
 
