@@ -38,31 +38,30 @@ def row_count_anomaly(
     )
 
 
-def count_checks(
-    history: DataFrame, current: int, suite: str, position: int, params: QualityParams = QUALITY
-) -> DataFrame:
-    """The anomaly check of one count against its history (``run_date, row_count``).
+def count_check(history: DataFrame, current: Column, position: int, params: QualityParams = QUALITY) -> Column:
+    """The anomaly check of one count against its history (``run_date, row_count``), as a struct.
 
-    Gives no row when the history is too short to judge.
+    Null when the history is too short to judge.
     """
     recent = history.orderBy(F.col("run_date").desc()).limit(params.lookback_runs)
-    stats = recent.agg(
-        F.count("row_count").alias("points"),
-        F.avg("row_count").alias("mean"),
-        F.stddev_samp("row_count").alias("stddev"),
-    ).filter(F.col("points") >= params.anomaly_min_points)
-    spread = F.when(F.col("stddev") == 0, 1.0).otherwise(F.col("stddev"))
-    z = F.abs(F.lit(current) - F.col("mean")) / spread
-    return stats.withColumn("z", z).select(
-        F.lit(suite).alias("suite"),
+    past = recent.agg(
+        F.struct(
+            F.count("row_count").alias("points"),
+            F.avg("row_count").alias("mean"),
+            F.stddev_samp("row_count").alias("stddev"),
+        )
+    ).scalar()
+    spread = F.when(past["stddev"] == 0, 1.0).otherwise(past["stddev"])
+    z = F.abs(current - past["mean"]) / spread
+    text = f"z-score=%.2f (mean=%.0f, stddev=%.0f) — threshold {params.anomaly_zscore}"
+    row = F.struct(
         F.lit(position).alias("position"),
         F.lit("row_count_anomaly").alias("check"),
-        (F.col("z") <= params.anomaly_zscore).alias("passed"),
-        F.format_string(
-            f"z-score=%.2f (mean=%.0f, stddev=%.0f) — threshold {params.anomaly_zscore}", "z", "mean", spread
-        ).alias("detail"),
-        F.col("z").alias("value"),
+        (z <= params.anomaly_zscore).alias("passed"),
+        F.format_string(text, z, past["mean"], spread).alias("detail"),
+        z.alias("value"),
     )
+    return F.when(past["points"] >= params.anomaly_min_points, row)
 
 
 def age_hours(newest: Column, as_of: Column) -> Column:

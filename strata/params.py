@@ -28,6 +28,9 @@ class RetentionRule:
 
 QUALITY = QualityParams()
 
+#: Least rows of a run where a day has fewer than ``min_row_count``: one document, rate or summary.
+LEAST_ROWS = {"raw/weather": 1, "raw/crypto": 1, "cleaned/crypto": 1, "curated/daily_summary": 1}
+
 # The published lifecycle of the layers.
 RETENTION = {
     "raw": RetentionRule(infrequent_days=30, archive_days=90, expire_days=365),

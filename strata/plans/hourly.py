@@ -32,6 +32,16 @@ MEDIAN_FILLED = ["temperature_c", "windspeed_kmh"]
 HUMIDITY_TERM, WIND_TERM, KMH_PER_MS, OFFSET = 0.33 * 40, 0.7, 3.6, 4.0
 WINDY_KMH = 30
 
+#: Rows before a row that its widest window takes in.
+LOOK_BACK = 23
+
+
+def payload_rows() -> Column:
+    """Readings of an envelope; null if it has none or its lists differ in length."""
+    n = F.size("data.hourly.time")
+    alike = F.forall(F.array(*[F.size(path) for path in ARRAYS.values()]), lambda size: size.eqNullSafe(n))
+    return F.when((n > 0) & alike, n)
+
 
 def flatten(envelopes: DataFrame) -> DataFrame:
     """One row per document and array position, as landed."""
@@ -88,16 +98,16 @@ def enriched(df: DataFrame, processed_at: dt.datetime, by: list[str] = ("source"
     within_day = {"temp_6h_rolling_avg": ("avg", "temperature_c", 2), "wind_6h_rolling_avg": ("avg", "windspeed_kmh", 2)}
     across_days = {"temp_24h_rolling_avg": ("avg", "temperature_c", 2)}
     out = rolling(df, [*by, "date"], ["hour"], 6, within_day)
-    out = rolling(out, by, ["date", "hour"], 24, across_days, chunk=F.trunc("date", "month"))
+    out = rolling(out, by, ["date", "hour"], LOOK_BACK + 1, across_days, chunk=F.trunc("date", "month"))
     return weather_flags(out).withColumn("processed_at", F.lit(processed_at))
 
 
-def suite(keys: list[str] = ("date", "hour")) -> Suite:
+def suite(keys: list[str] = ("date", "hour"), least: int = 24) -> Suite:
     # The published checks of the hourly feed.
     return (
         Suite("weather_validation")
         .not_empty()
-        .min_count(24)
+        .min_count(least)
         .if_any_rows()
         .required(["date", "hour", "temperature_c", "precipitation_mm", "windspeed_kmh"])
         .null_rate("temperature_c")

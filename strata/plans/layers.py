@@ -12,16 +12,20 @@ from pyspark.sql import functions as F
 from strata.functions.dates import folder_of
 from strata.operators.checks import RESULT, Suite, SuiteReport, summarize
 from strata.operators.monitor import points
-from strata.operators.runs import count_checks, freshness_check, no_files
-from strata.params import QUALITY, QualityParams
+from strata.operators.clean import first_n
+from strata.operators.runs import count_check, freshness_check, no_files
+from strata.params import LEAST_ROWS, QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
-from strata.session import stage
+from strata.session import stage, unstage
 from strata.sinks.tables import ROWS, emit_metrics, observed, record_history, write_cleaned, write_curated, write_report
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
 
 PAYLOADS = {"weather": HOURLY_PAYLOAD, "crypto": PRICE_PAYLOAD}
+#: Payload rows of an envelope; null where there are none.
+PAYLOAD_ROWS = "payload_rows"
+PAYLOAD_COUNTS = {"weather": hourly.payload_rows, "crypto": price.payload_rows}
 RESULT_COLUMNS = ["suite", "position", "check", "passed", "detail", "value"]
 
 
@@ -46,10 +50,14 @@ def promote(df: DataFrame, suite: Suite, write: Callable[[DataFrame], None], sta
     """
     if staged:
         df = stage(df, "staged")
-    report = suite.run(df)
-    if report.failed:
-        raise QualityGateError(report)
-    write(df)
+    try:
+        report = suite.run(df)
+        if report.failed:
+            raise QualityGateError(report)
+        write(df)
+    finally:
+        if staged:
+            unstage(df)
     return report
 
 
@@ -63,9 +71,10 @@ def require_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
 
 
 def layer_suite(name: str, expected: list[str], params: QualityParams) -> Suite:
+    least = min(LEAST_ROWS.get(name, params.min_row_count), params.min_row_count)
     suite = (
         Suite(name)
-        .min_count(params.min_row_count, "min_row_count", f"%d rows (min {params.min_row_count})")
+        .min_count(least, "min_row_count", f"%d rows (min {least})")
         .if_any_rows()
         .required(expected, "schema_check", lead="Missing fields")
     )
@@ -100,18 +109,26 @@ def validate_layer(check: LayerCheck, as_of: Column, params: QualityParams = QUA
         return no_files(spark, check.name)
     expected = check.expected or EXPECTED_FIELDS.get(check.layer, {}).get(check.dataset, [])
     fresh = freshness_check(check.files, as_of, check.name, max_hours=params.max_age_hours)
-    found = layer_suite(check.name, expected, params).evaluate(check.rows)
+    suite = layer_suite(check.name, expected, params)
+    if PAYLOAD_ROWS in check.rows.columns:
+        suite.null_rate(PAYLOAD_ROWS, params.max_null_rate, word=" null")
+
+    def row(position: Column, name: Column, passed: Column, detail: Column, value: Column) -> Column:
+        return F.struct(
+            position.alias("position"), name.alias("check"), passed.alias("passed"), detail.alias("detail"), value.alias("value")
+        )
+
+    own = row(F.col("position") + 1, F.col("check"), F.col("passed"), F.col("detail"), F.col("value"))
+    counted = F.col("position") == 0
+    rows = [own]
     # An empty table has nothing to look at: its two checks fail.
-    unmet = [(1, "schema_check", "No records to validate"), (2, "null_rate_check", "No records")]
-    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("check"), F.lit(d).alias("detail")) for i, c, d in unmet]
-    counted_none = (F.col("position") == 0) & (F.col("value") == 0)
-    empty = found.filter(counted_none).select("suite", F.inline(F.array(*rows)))
-    empty = empty.withColumns({"passed": F.lit(False), "value": F.lit(None).cast("double")})
-    results = found.unionByName(empty).withColumn("position", F.col("position") + 1)
+    for i, name, why in [(2, "schema_check", "No records to validate"), (3, "null_rate_check", "No records")]:
+        unmet = row(F.lit(i), F.lit(name), F.lit(False), F.lit(why), F.lit(None).cast("double"))
+        rows.append(F.when(counted & (F.col("value") == 0), unmet))
     if check.history is not None:
-        counted = check.rows.count()
-        results = results.unionByName(count_checks(check.history, counted, check.name, 100, params))
-    return fresh.unionByName(results)
+        rows.append(F.when(counted, count_check(check.history, F.col("value"), 100, params)))
+    found = suite.evaluate(check.rows).select("suite", F.inline(F.array(*rows)))
+    return fresh.unionByName(found.filter(F.col("check").isNotNull()))
 
 
 def validation_report(checks: DataFrame, layer: str, execution_date: str, validated_at: dt.datetime) -> DataFrame:
@@ -178,7 +195,7 @@ def layer_check(
         return LayerCheck(layer, dataset, None, None)
     if layer == "raw":
         rows = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
-        rows = rows.drop("_corrupt_record")
+        rows = rows.withColumn(PAYLOAD_ROWS, PAYLOAD_COUNTS[dataset]()).drop("_corrupt_record")
     else:
         rows = read_layer(spark, f"{base}/{layer}/{dataset}", date, date)
     history = None
@@ -238,15 +255,17 @@ def raw_to_cleaned(
 
     Returns the row and null counts of each dataset, taken along while writing, and under ``_rejected``
     and ``_unreadable`` the rows without a key and the documents that are no JSON. Both are kept under
-    ``rejected`` in the lake. A dataset of which no row can be kept raises, as its earlier rows would
-    stand for the new ones.
+    ``rejected`` in the lake. A dataset without files raises, and one that fails its suite, as it does
+    when no row can be kept: nothing of it is written then.
     """
     feeds = {
-        "weather": lambda raw: hourly.clean(raw, null_policy),
-        "crypto": lambda raw: price.clean(raw),
+        "weather": (lambda raw: hourly.clean(raw, null_policy), hourly.suite(hourly.KEYS, QUALITY.min_row_count)),
+        "crypto": (lambda raw: price.clean(raw), price.suite()),
     }
     counts = {}
-    for dataset, clean in feeds.items():
+    for dataset in feeds:
+        require_files(spark, partition_folder(base, "raw", dataset, date))
+    for dataset, (clean, suite) in feeds.items():
         raw = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
         good, rejected = clean(raw)
         lost = {"_rejected": rejected, "_unreadable": raw.filter(F.col("_corrupt_record").isNotNull())}
@@ -257,24 +276,46 @@ def raw_to_cleaned(
             observed(rows, counted).write.mode("overwrite").parquet(target)
             counts[dataset][kind] = counted.get[ROWS]
         seen = Observation(f"cleaned_{dataset}")
-        write_cleaned(good, f"{base}/cleaned/{dataset}", seen=seen)
+        promote(good, suite, lambda df: write_cleaned(df, f"{base}/cleaned/{dataset}", seen=seen))
         counts[dataset] = seen.get | counts[dataset]
-        if not counts[dataset][ROWS]:
-            raise MissingLayerError(f"no row of {dataset} on {date} could be kept")
     return counts
 
 
-def cleaned_to_curated(spark: SparkSession, base: str, processed_at: dt.datetime) -> None:
-    """Rebuild the curated tables from all cleaned rows, each replacing its own dates.
+def from_day(df: DataFrame, start: str | None, by: list[str], order: list[str], rows: int) -> DataFrame:
+    """The rows of ``start`` and later, and the newest ``rows`` before it of each series."""
+    if start is None:
+        return df
+    later = F.col("date") >= F.lit(start).cast("date")
+    before = first_n(df.filter(~later), by, [F.desc(c) for c in order], rows)
+    return df.filter(later).unionByName(before)
 
-    The summary must pass its suite before it replaces anything.
+
+def cleaned_to_curated(spark: SparkSession, base: str, processed_at: dt.datetime, start: str | None = None) -> None:
+    """Rebuild the curated tables from the cleaned rows of ``start`` and later, or from all of them.
+
+    Days before ``start`` stay as they are; of their rows, only those that windows reach back to take
+    part. Each table must pass its suite before it replaces anything.
     """
-    weather = read_layer(spark, f"{base}/cleaned/weather")
-    crypto = read_layer(spark, f"{base}/cleaned/crypto")
-    promote(
-        summary.build(weather, crypto, processed_at),
-        summary.suite(),
-        lambda df: write_curated(df, f"{base}/curated/daily_summary", ["date"]),
-    )
-    write_curated(hourly.enriched(weather, processed_at), f"{base}/curated/weather_hourly_agg", ["date"])
-    write_curated(price.stats(crypto, processed_at), f"{base}/curated/crypto_stats", ["date"])
+    weather_path, crypto_path = (f"{base}/cleaned/{d}" for d in ("weather", "crypto"))
+    require_files(spark, weather_path)
+    require_files(spark, crypto_path)
+    weather, crypto = read_layer(spark, weather_path), read_layer(spark, crypto_path)
+    readings = from_day(weather, start, ["source"], ["date", "hour"], hourly.LOOK_BACK)
+    rates = from_day(crypto, start, ["currency"], ["date"], price.LOOK_BACK)
+    tables = {
+        "daily_summary": (
+            summary.build(read_layer(spark, weather_path, start), read_layer(spark, crypto_path, start), processed_at),
+            summary.suite(),
+        ),
+        "weather_hourly_agg": (
+            hourly.enriched(readings, processed_at),
+            Suite("weather_hourly_agg").not_empty().unique(hourly.KEYS).value_range("hour", 0, 23),
+        ),
+        "crypto_stats": (
+            price.stats(rates, processed_at),
+            Suite("crypto_stats").not_empty().unique(price.KEYS).null_rate("rate_usd", 0.0),
+        ),
+    }
+    for name, (df, suite) in tables.items():
+        new = df.filter(F.col("date") >= F.lit(start).cast("date")) if start else df
+        promote(new, suite, lambda d, to=f"{base}/curated/{name}": write_curated(d, to, ["date"]))

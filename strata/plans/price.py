@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import parse_ts
@@ -25,6 +25,9 @@ FIELDS = {
 # The asset of the feed and the statistics kept per day and per week.
 CURRENCY = "BTC"
 WEEK_ROWS = 7
+
+#: Rows before a row that its widest window takes in.
+LOOK_BACK = WEEK_ROWS - 1
 DAILY: Spec = {
     "btc_usd_avg": ("avg", "rate_usd", 2),
     "btc_usd_high": ("max", "rate_usd", 2),
@@ -35,6 +38,11 @@ DAILY: Spec = {
 WEEKLY: Spec = {"rate_usd_7d_avg": ("avg", "rate_usd", 2), "rate_usd_7d_stddev": ("stddev", "rate_usd", 4)}
 
 
+def payload_rows() -> Column:
+    """One rate of an envelope; null if it has none."""
+    return F.when(F.col("data.bpi.USD.rate_float").isNotNull(), 1)
+
+
 def typed(envelopes: DataFrame) -> DataFrame:
     rates = extract_typed(envelopes, FIELDS)
     day = F.col("execution_date").try_cast("date")
@@ -68,7 +76,7 @@ def stats(df: DataFrame, processed_at: dt.datetime, by: list[str] = ("currency",
         for alias, spec in WEEKLY.items()
     }
     exprs["price_change_pct"] = change_pct("rate_usd", 4)
-    out = look_back(df, list(by), ["date"], WEEK_ROWS - 1, exprs, chunk=F.trunc("date", "year"))
+    out = look_back(df, list(by), ["date"], LOOK_BACK, exprs, chunk=F.trunc("date", "year"))
     out = bands(
         out, "rate_usd_7d_avg", "rate_usd_7d_stddev", 2, 2, "volatility_band_upper", "volatility_band_lower"
     )

@@ -8,6 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from strata.jobs import main
 from strata.operators.checks import Suite
 from strata.plans.layers import (
     LayerCheck,
@@ -104,13 +105,17 @@ def test_validation_of_each_layer(spark, lake):
     base = str(lake)
     cleaned_to_curated(spark, base, NOW)
     as_of = dt.datetime.now() + dt.timedelta(minutes=1)
-    assert run_validation(spark, base, "raw", "2024-01-06", as_of) == "FAIL"  # one document is too few rows
+    assert run_validation(spark, base, "raw", "2024-01-06", as_of) == "PASS"
     _, raw = statuses(spark, base, "raw", "2024-01-06")
-    assert raw["weather"]["schema_check"] == "PASS" and raw["weather"]["min_row_count"] == "FAIL"
+    assert raw["weather"]["schema_check"] == raw["weather"]["null_rate_payload_rows"] == "PASS"
     assert run_validation(spark, base, "cleaned", "2024-01-06", as_of, ["weather"]) == "PASS"
     report, cleaned = statuses(spark, base, "cleaned", "2024-01-06")
     assert report.overall_status == "PASS" and report.datasets[0].passed == len(cleaned["weather"]) == 9
-    assert run_validation(spark, base, "curated", "2024-01-06", as_of) == "FAIL"
+    assert run_validation(spark, base, "cleaned", "2024-01-06", as_of, ["crypto"]) == "PASS"
+    assert run_validation(spark, base, "curated", "2024-01-06", as_of) == "PASS"
+    late = as_of + dt.timedelta(hours=27)
+    assert run_validation(spark, base, "curated", "2024-01-06", late) == "FAIL"
+    assert statuses(spark, base, "curated", "2024-01-06")[0].overall_status in ("PASS", "FAIL")
     points = spark.read.parquet(f"{base}/metrics")
     assert points.filter("name = 'RowCount' AND dimensions['Dataset'] = 'weather'").agg(F.max("value")).head()[0] == 24.0
 
@@ -125,6 +130,66 @@ def test_unreadable_documents_show_as_nulls(spark, tmp_path):
     assert any(c.detail == "50.0% null (1/2) — threshold 5%" for c in report.datasets[0].checks)
 
 
+def test_payloads_without_rows_show_as_nulls(spark, tmp_path):
+    land(tmp_path, "2024-01-05")
+    path = next((tmp_path / "raw/weather/2024/01/05").glob("*.json"))
+    text = json.loads(path.read_text())
+    text["data"]["hourly"]["windspeed_10m"].pop()
+    path.write_text(json.dumps(text))
+    assert run_validation(spark, str(tmp_path), "raw", "2024-01-05", ASOF, ["crypto"]) == "PASS"
+    assert run_validation(spark, str(tmp_path), "raw", "2024-01-05", ASOF, ["weather"]) == "FAIL"
+
+
+def test_nothing_is_cleaned_that_fails_its_suite(spark, tmp_path):
+    base = str(tmp_path)
+    with pytest.raises(MissingLayerError):
+        raw_to_cleaned(spark, base, "2024-01-05")
+    land(tmp_path, "2024-01-05")
+    raw_to_cleaned(spark, base, "2024-01-05")
+    land(tmp_path, "2024-01-05", usd=-1.0, holes=range(24))
+    (tmp_path / "raw/weather/2024/01/05/src_a.json").unlink(missing_ok=True)
+    land(tmp_path, "2024-01-05", usd=-1.0, holes=range(24))
+    with pytest.raises(QualityGateError):
+        raw_to_cleaned(spark, base, "2024-01-05")
+    assert read_layer(spark, f"{base}/cleaned/weather").count() == 24
+
+
+def test_rebuild_from_a_day_equals_a_full_rebuild(spark, tmp_path):
+    base = str(tmp_path)
+    days = ["2024-01-02", "2024-01-03", "2024-01-09", "2024-01-10"]
+    for i, day in enumerate(days):
+        land(tmp_path, day, usd=100.0 + 7 * i, holes=range(i * 3, 12))
+        raw_to_cleaned(spark, base, day)
+    tables = ["daily_summary", "weather_hourly_agg", "crypto_stats"]
+    content = lambda: [sorted(map(str, spark.read.parquet(f"{base}/curated/{t}").collect())) for t in tables]
+    cleaned_to_curated(spark, base, NOW)
+    whole = content()
+    cleaned_to_curated(spark, base, NOW, "2024-01-09")
+    assert content() == whole
+    cleaned_to_curated(spark, base, NOW + dt.timedelta(1), "2024-01-09")
+    summary = spark.read.parquet(f"{base}/curated/daily_summary").orderBy("date").collect()
+    assert [r.processed_at.day for r in summary] == [1, 1, 2, 2]
+
+
+def test_jobs_from_landing_to_curated(spark, tmp_path):
+    base, day = tmp_path / "lake", "2024-01-05"
+    land(tmp_path / "fetched", day)
+    for dataset in ("weather", "crypto"):
+        envelope = next((tmp_path / f"fetched/raw/{dataset}/2024/01/05").glob("*.json"))
+        payload = tmp_path / f"{dataset}.json"
+        payload.write_text(json.dumps(json.loads(envelope.read_text())["data"], indent=1))
+        common = ["--base", str(base), "--date", day]
+        assert main(["land", "--dataset", dataset, "--input", str(payload), "--source", "api", *common]) == 0
+    for job in (["validate"], ["raw-to-cleaned"], ["cleaned-to-curated"], ["validate", "--layer", "curated"]):
+        assert main([*job, *common]) == 0
+    with pytest.raises(MissingLayerError):
+        main(["raw-to-cleaned", "--base", str(base), "--date", "2024-01-06"])
+    names = spark.read.parquet(f"{base}/metrics").groupBy("name").count().collect()
+    found = {r.name: r["count"] for r in names}
+    assert (found["PipelineSuccess"], found["PipelineFailure"], found["RecordsIngested"]) == (6, 1, 2)
+    assert spark.read.parquet(f"{base}/curated/daily_summary").head().avg_temp_c == 21.5
+
+
 def test_validation_without_files_or_datasets(spark, tmp_path):
     as_of = dt.datetime.now()
     assert run_validation(spark, str(tmp_path), "raw", "2024-01-05", as_of, []) == "PASS"
@@ -167,7 +232,7 @@ def test_missing_fields_are_named(spark):
     found = {r.check: r for r in validate_layer(LayerCheck("cleaned", "weather", files, rows), F.lit(ASOF)).collect()}
     assert "Missing fields: ['temperature_c'" in found["schema_check"].detail
     assert found["null_rate_temperature_c"].detail == "100.0% null (20/20) — threshold 5%"
-    assert len(found) == 3 + 5
+    assert len(found) == 3 + 6
 
 
 @pytest.mark.parametrize("staged", [True, False])
