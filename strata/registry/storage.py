@@ -103,17 +103,34 @@ def scan_csv(spark, sf_dir):
     return read_csv_upload(spark, status.head().uri, customers.schema, multi_line=True)
 
 
-@query("file_inventory")
+FOLDER = "'year=' || year(date) || '/month=' || month(date) || '/day=' || day(date)"
+
+
+def by_folder(files):
+    return files.withColumn("folder", F.regexp_extract("path", r"(year=.*)/[^/]*$", 1))
+
+
+@query("file_inventory", f"WITH {READINGS} SELECT {FOLDER} AS folder, count(*) AS rows FROM readings GROUP BY ALL")
 def inventory(spark, sf_dir):
-    files = file_inventory(spark, sf_dir, "*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "modified_at")
+    """The rows that the listed files of a written layer hold, per partition folder."""
+    path = cleaned_readings(spark, sf_dir)
+    listed = by_folder(file_inventory(spark, path, "*.parquet")).filter("bytes > 0 AND modified_at IS NOT NULL")
+    below = lambda at: F.regexp_extract(at, r"(year=.*)$", 1).alias("file")
+    listed = listed.select("folder", below(F.col("path")))
+    held = spark.read.parquet(path).groupBy(below(F.col("_metadata.file_path"))).agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(held, "file").groupBy("folder").agg(F.sum("n").alias("rows"))
 
 
-@query("file_totals")
+@query(
+    "file_totals",
+    f"""WITH {READINGS} SELECT {FOLDER} AS folder, true AS has_files, true AS has_bytes
+    FROM readings GROUP BY ALL""",
+)
 def totals(spark, sf_dir):
-    """Files and bytes per partition folder of a written layer."""
-    files = file_inventory(spark, cleaned_readings(spark, sf_dir), "*.parquet")
-    return inventory_totals(files.withColumn("folder", F.regexp_extract("path", r"(year=.*)/[^/]*$", 1)), "folder")
+    """Whether each partition folder of a written layer has files and bytes; their numbers differ by run."""
+    files = by_folder(file_inventory(spark, cleaned_readings(spark, sf_dir), "*.parquet"))
+    found = inventory_totals(files, "folder").filter(F.col("newest").isNotNull())
+    return found.select("folder", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query(
