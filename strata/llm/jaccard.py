@@ -405,7 +405,13 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
 
 
 def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """The documents with the smallest key of each group, with all columns; those of null key all stay."""
-    groups = similar_groups(docs.where(F.col(key).isNotNull()), n, percent, key)
-    dropped = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return attach(docs, dropped, [key], "anti", alike=True).select(*docs.columns)
+    """One document of each group, with all columns: that of the smallest key, null last, and of equal keys
+    the first row. Rows whose text is null or empty are in no group and all stay.
+    """
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    groups = similar_groups(rows, n, percent, "__row").select("__row", F.col("component_id").alias("__group"))
+    placed = attach(rows.select("__row", F.col(key).alias("__key")), groups, ["__row"], "inner")
+    order = F.struct(F.col("__key").isNull().alias("none"), "__key", "__row")
+    firsts = placed.groupBy("__group").agg(F.min(order)["__row"].alias("__first"))
+    dropped = attach(placed, firsts, ["__group"], "inner").where("__row <> __first").select("__row")
+    return attach(rows, dropped, ["__row"], "anti", alike=True).select(*docs.columns)

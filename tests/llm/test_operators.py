@@ -79,6 +79,17 @@ def test_similar_groups(make, monkeypatch):
     assert jaccard.similar_groups(make([])).count() == 0
 
 
+def test_first_of_groups(make):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(100)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, a + " end"), (7, b), (7, b), (7, b + " end"), (9, c + " end"), (9, d), (12, d), (3, c)]
+    rows += [(None, d + " end"), (None, None), (None, None), (5, ""), (5, "")]
+    kept = jaccard.first_of_groups(make([t for _, t in rows], [i for i, _ in rows]))
+    want = [(None, a), (7, b), (9, d), (3, c), (None, None), (None, None), (5, ""), (5, "")]
+    assert kept.columns == make([]).columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    assert jaccard.first_of_groups(make([])).count() == 0
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
