@@ -146,19 +146,18 @@ def _sketch(n: int, percent: int):
             sets = shingle_sets(batch.column("__text").to_pylist(), n)
             low = [s[: max(int(np.searchsorted(s, bound, side="right")), prefix_length(len(s), percent))] if len(s) else s for s in sets]
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.record_batch([batch.column("__key"), sizes, pa.array(set_ids(sets)), _lists(low)], names=["__key", "n", "sid", "low"])
+            columns = [batch.column("__row"), batch.column("__key"), sizes, pa.array(set_ids(sets)), _lists(low)]
+            yield pa.record_batch(columns, names=["__row", "__key", "n", "sid", "low"])
 
     return sketch
 
 
 def _full(n: int):
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sets that are asked for; a key may repeat with other texts."""
+        """The sets that are asked for, each once."""
         for batch in (p for b in batches for p in _parts(b)):
             sets = shingle_sets(batch.column("__text").to_pylist(), n)
-            at = np.flatnonzero(set_ids(sets) == batch.column("sid").to_numpy()) if sets else np.zeros(0, np.int64)
-            sids, cells = (batch.column(c).take(pa.array(at)) for c in ("sid", "cells"))
-            yield pa.record_batch([sids, cells, _lists([sets[i] for i in at])], names=["sid", "cells", "tokens"])
+            yield pa.record_batch([batch.column("sid"), batch.column("cells"), _lists(sets)], names=["sid", "cells", "tokens"])
 
     return full
 
@@ -344,18 +343,19 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_linker(percent), "a long, b long")
 
 
-def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """One row per document: key, n_shingles, and component_id, the smallest key that it reaches by links.
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with ``__row``, a number that no other row has."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
 
-    Documents link when their sets of distinct runs of ``n`` words (A to Z lowered) share ``percent`` or
-    more of their union. A shorter text is one run; a null or empty one has none and is linked with
-    nothing, and its component_id is its own key. A null key is never the smallest; documents that only
-    reach null keys have a null component_id. Rows that repeat are documents of their own, with equal
-    results. An empty table gives no rows. Columns other than key and text are not looked at.
+
+def _components(rows: DataFrame, key: str, n: int, percent: int, keep: bool) -> DataFrame:
+    """(__row, __key, n, component) of staged rows: ``component`` is the smallest set that a row's set reaches.
+
+    The rows are removed as soon as their texts have been read, unless ``keep``.
     """
-    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
-    texts = docs.select(F.col(key).alias("__key"), F.col("text").cast("binary").alias("__text"))
-    full = stage(texts.mapInArrow(_sketch(n, percent), f"__key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
+    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    texts = rows.select("__row", F.col(key).alias("__key"), F.col("text").cast("binary").alias("__text"))
+    full = stage(texts.mapInArrow(_sketch(n, percent), f"__row long, __key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
     prefixes = stage(_prefixes(full.where("n > 0"), percent), "jaccard-prefixes")
     sketches = stage(full.drop("low"), "jaccard-sizes")
     unstage(full)
@@ -367,10 +367,13 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     home = meetings.groupBy("sid").agg(F.min("center").alias("center"))
     once = home.unionByName(home.select(F.col("center").alias("sid"), "center")).distinct()
     cells = _cells(once.withColumn("part", F.col("sid")), False)
-    keys = some.groupBy("sid").agg(F.min("__key").alias("__key"))
-    wanted = attach(texts, stage(attach(cells, keys, ["sid"], "inner"), "jaccard-cells"), ["__key"], "inner", alike=True)
-    wanted = wanted.select("sid", "cells", "__text")
+    # One row stands for all that have the same set.
+    named = some.groupBy("sid").agg(F.min("__row").alias("__row"))
+    wanted = stage(attach(cells, named, ["sid"], "inner"), "jaccard-cells")
+    wanted = attach(texts.drop("__key"), wanted, ["__row"], "inner", alike=True).select("sid", "cells", "__text")
     sets = stage(wanted.mapInArrow(_full(n), f"sid long, cells {CELLS}, tokens array<long>"), "jaccard-sets")
+    if not keep:
+        unstage(rows)
     found = stage(_links(sets, percent), "jaccard-links")
     release(spark)
 
@@ -396,8 +399,20 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     unstage(sets)
     release(spark)
 
-    named = attach(sketches.select("__key", "n", "sid"), parts.select(F.col("node").alias("sid"), "component"), ["sid"])
-    named = named.withColumn("component", F.coalesce("component", "sid"))
+    named = attach(sketches.select("__row", "__key", "n", "sid"), parts.select(F.col("node").alias("sid"), "component"), ["sid"])
+    return named.select("__row", "__key", "n", F.coalesce("component", "sid").alias("component"))
+
+
+def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
+    """One row per document: key, n_shingles, and component_id, the smallest key that it reaches by links.
+
+    Documents link when their sets of distinct runs of ``n`` words (A to Z lowered) share ``percent`` or
+    more of their union. A shorter text is one run; a null or empty one has none and is linked with
+    nothing, and its component_id is its own key. A null key is never the smallest; documents that only
+    reach null keys have a null component_id. Rows that repeat are documents of their own, with equal
+    results. An empty table gives no rows. Columns other than key and text are not looked at.
+    """
+    named = _components(_numbered(docs.select(key, "text")), key, n, percent, keep=False)
     lowest = named.where("n > 0").groupBy("component").agg(F.min("__key").alias("lowest"))
     result = attach(named, lowest, ["component"])
     component = F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("__key"))
@@ -408,10 +423,9 @@ def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     """One document of each group, with all columns: that of the smallest key, null last, and of equal keys
     the first row. Rows whose text is null or empty are in no group and all stay.
     """
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
-    groups = similar_groups(rows, n, percent, "__row").select("__row", F.col("component_id").alias("__group"))
-    placed = attach(rows.select("__row", F.col(key).alias("__key")), groups, ["__row"], "inner")
+    rows = _numbered(docs)
+    placed = _components(rows, key, n, percent, keep=True).where("n > 0")
     order = F.struct(F.col("__key").isNull().alias("none"), "__key", "__row")
-    firsts = placed.groupBy("__group").agg(F.min(order)["__row"].alias("__first"))
-    dropped = attach(placed, firsts, ["__group"], "inner").where("__row <> __first").select("__row")
+    firsts = placed.groupBy("component").agg(F.min(order)["__row"].alias("__first"))
+    dropped = attach(placed, firsts, ["component"], "inner").where("__row <> __first").select("__row")
     return attach(rows, dropped, ["__row"], "anti", alike=True).select(*docs.columns)

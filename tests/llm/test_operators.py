@@ -90,6 +90,25 @@ def test_first_of_groups(make):
     assert jaccard.first_of_groups(make([])).count() == 0
 
 
+def test_each_set_is_fetched_once(make, monkeypatch):
+    """However many rows share a key, or a key and a text."""
+    base = LONG.split()[:200]
+    texts = [" ".join(base[:k] + [f"new{k}"] + base[k + 1 :]) for k in range(0, 180, 20)]
+    texts, ids = texts * 4, [None] * 18 + [7] * 18
+    joined, attach = [], jaccard.attach
+
+    def counted(*args, **kwargs):
+        out = attach(*args, **kwargs)
+        if kwargs.get("alike"):
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "attach", counted)
+    got = jaccard.similar_groups(make(texts, ids), 3, 90).collect()
+    assert len(got) == 36 and {r.component_id for r in got} == {7}
+    assert joined[0] == 9 and max(joined) == 9
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
