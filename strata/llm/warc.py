@@ -157,8 +157,11 @@ def write_archive(
 
 
 def _parse(data: memoryview) -> tuple[dict[str, str], int, int]:
-    """The header fields of a record, the payload's length as the HTTP header tells, and where it begins."""
-    text = bytes(data[: 64 << 10])
+    """The header fields of a record, the payload's length as the HTTP header tells, and where it begins.
+
+    ``data`` is the record's first chunk, which holds the whole of both headers, however long its url.
+    """
+    text = bytes(data)
     end = text.index(END) + len(END)
     lines = text[:end].split(b"\r\n")
     if lines[0] != VERSION:
@@ -209,7 +212,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if url is not None:
                     url = url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
                 row = (_id(fields["WARC-Record-ID"]), url, length, digest, kind, _id(fields.get("WARC-Refers-To")))
-                if out.add(row, 256):
+                if out.add(row, 256 + len(url or "")):
                     yield out.batch()
     yield out.batch()
 

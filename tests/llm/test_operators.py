@@ -179,6 +179,16 @@ def test_warc(spark):
         warc.read_archive(spark, broken).collect()
 
 
+def test_warc_long_urls(spark):
+    urls = ["data:text/plain," + "x%\n" * n for n in (21_800, 100_000, 400_000)]
+    rows = [(i, url, html) for i, (url, html) in enumerate((u, h) for u in urls for h in (None, "same", "z" * 150_000))]
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    got = {r.page_id: r for r in warc.read_archive(spark, path).collect()}
+    assert {(i, r.url, r.payload_bytes) for i, r in got.items()} == {(i, u, len(h or "")) for i, u, h in rows}
+    assert [got[i].refers_to for i in range(9)] == [None] * 3 + [0, 1, 2] * 2
+
+
 def test_text_classifiers_keep_columns(spark, make):
     docs = make(["The cat sat on the mat", None, "123", ""] * 3)
     model = langid.fit(docs)
