@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, warc
+from strata.llm import bisector, decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, warc
 from strata.llm.common import fold, read, ship
 from strata.session import scratch_dir
 
@@ -178,3 +178,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
+
+
+def _round(n: int) -> str:
+    """SQL of one round of assigning and moving centroids ``c{n}`` to ``c{n + 1}``."""
+    return f"""
+    a{n} AS MATERIALIZED (
+      SELECT vec_id, v.x, v.y, min({{'d': v.xx - 2 * list_dot_product(v.y, c.y) + c.yy, 'n': c.n}}) AS best
+      FROM v, c{n} AS c GROUP BY ALL),
+    c{n + 1} AS MATERIALIZED (
+      SELECT n, x, list_transform(x, lambda e: CAST(e AS DOUBLE)) AS y,
+             list_dot_product(list_transform(x, lambda e: CAST(e AS DOUBLE)), list_transform(x, lambda e: CAST(e AS DOUBLE))) AS yy
+      FROM (SELECT c.n, coalesce(m.x, c.x) AS x
+            FROM c{n} AS c LEFT JOIN (
+              SELECT n, list(m ORDER BY i) AS x
+              FROM (SELECT n, i, CAST(floor(sum(e) / count(*)) AS BIGINT) AS m
+                    FROM (SELECT best.n AS n, unnest(x) AS e, unnest(range(64)) AS i FROM a{n}) GROUP BY n, i)
+              GROUP BY n) AS m ON m.n = c.n))"""
+
+
+@query(
+    "op12_bisector_clusters",
+    f"""
+    WITH v AS MATERIALIZED (
+      SELECT vec_id, x, list_transform(x, lambda e: CAST(e AS DOUBLE)) AS y,
+             list_dot_product(list_transform(x, lambda e: CAST(e AS DOUBLE)), list_transform(x, lambda e: CAST(e AS DOUBLE))) AS xx
+      FROM (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)),
+    c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS n, x, y, xx AS yy
+      FROM v ORDER BY sha256('2:' || vec_id) LIMIT 40),
+    {",".join(_round(n) for n in range(5))},
+    f AS (SELECT vec_id, min({{'d': v.xx - 2 * list_dot_product(v.y, c.y) + c.yy, 'n': c.n}}) AS best FROM v, c5 AS c GROUP BY vec_id)
+    SELECT vec_id, CAST(best.n AS INT) AS cluster, CAST(best.d AS BIGINT) AS distance,
+           CAST(sum(best.d) OVER (PARTITION BY best.n) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+    FROM f JOIN c5 ON c5.n = best.n
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector.cluster(read(spark, sf_dir, "embeddings"))
