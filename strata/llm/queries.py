@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bisector, decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, warc
+from strata.llm import bisector, decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, term_audit, warc
 from strata.llm.common import fold, read, ship
 from strata.session import scratch_dir
 
@@ -219,3 +219,45 @@ def _round(n: int) -> str:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisector.cluster(read(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_term_pointer_audit",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    w AS (
+      SELECT doc_id, lang, source, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM d),
+    k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+    v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS n FROM k GROUP BY lang),
+    c AS (SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+    s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+    f AS (
+      SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(s.n, 0) + 2 * v.v) AS p,
+             1 + 1000000000::HUGEINT * (k.n + 2) // (v.n + 2 * v.v) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+      LEFT JOIN s ON s.lang = g.lang AND s.source = g.source),
+    pairs AS (
+      SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(m.value, 0) AS value
+      FROM g JOIN g AS h ON h.lang = g.lang AND h.source <> g.source
+      LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM f AS a JOIN f AS b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL) AS m
+      ON m.lang = g.lang AND m.source = g.source AND m.item = h.source),
+    terms AS (
+      SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM f WHERE n > 0 AND p > q),
+    r AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+    FROM r WHERE part = 'pair' OR rank <= 10
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_audit.audit(read(spark, sf_dir, "documents"))
