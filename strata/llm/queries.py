@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bisector, decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, term_audit, warc
+from strata.llm import bisector, decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, term_audit, toxicity, warc
 from strata.llm.common import fold, read, ship
 from strata.session import scratch_dir
 
@@ -180,6 +180,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
 
 
+@query("op11_recurrent_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    network = toxicity.fit(docs.where("NOT held_out").select("doc_id", "text"), labels)
+    scored = toxicity.with_toxicity(docs.select("doc_id", "held_out", "text"), network)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def _round(n: int) -> str:
     """SQL of one round of assigning and moving centroids ``c{n}`` to ``c{n + 1}``."""
     return f"""
