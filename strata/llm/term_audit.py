@@ -2,9 +2,9 @@
 
 A term is a run of ASCII letters and of characters beyond ASCII; only A-Z are lower-cased. A task reads
 the texts of a batch as one buffer of Arrow, marks the places where terms start, and sorts these pointers by a
-multikey quicksort: all groups of pointers that agree so far are split at once into those whose next
-eight bytes are below, at or above those of a member of the group; pointers at go on with the next eight,
-and are done where the term has ended. Runs of equal pointers are the terms. Ordered by group of documents
+multikey quicksort: many pivots part them first; then all groups of pointers that agree so far are split at
+once into those whose next eight bytes are below, at or above those of a member of the group. Pointers at
+a pivot go on with the next eight bytes, and are done where the term has ended. Runs of equal pointers are the terms. Ordered by group of documents
 and place within a run, they give the occurrences and the documents of each term in each (lang, source).
 
 These counts are summed over tasks before and after the shuffle. Divergences of pairs of sources are summed
@@ -32,6 +32,9 @@ UNIT = 1_000_000_000
 #: Bytes of text whose pointers are sorted together; a longer text is cut up and its counts are added.
 SLICE = 8 << 20
 
+#: Most pivots that all pointers of a slice are first parted by.
+PIVOTS = 1 << 16
+
 #: Depth in bytes from which the few pointers left are compared as whole words.
 DEEP = 64
 
@@ -106,16 +109,23 @@ def sort_pointers(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
     active = np.arange(n)
     depth = np.zeros(n, np.int64)
     keys = block(active, depth)
-    group = np.zeros(n, np.int64)
-    low = np.zeros(1, np.int64)  # rank at which each group begins
+    group = low = None
     while len(active):
-        pivots = np.zeros(len(low), np.uint64)
-        pivots[group] = keys
-        at = pivots[group]
-        side = 3 * group + 1 + (keys > at) - (keys < at)
-        held = np.bincount(side, minlength=3 * len(low))
-        begins = np.repeat(low, 3) + (np.cumsum(held.reshape(-1, 3), axis=1) - held.reshape(-1, 3)).ravel()
-        level = side % 3 == 1
+        if group is None:  # all pointers are parted at once, by many pivots
+            pivots = np.unique(keys[:: 1 + n // PIVOTS])
+            at = np.minimum(np.searchsorted(pivots, keys), len(pivots) - 1)
+            level = pivots[at] == keys
+            side = 2 * at + np.where(level, 1, 2 * (keys > pivots[at]))
+            held = np.bincount(side, minlength=2 * len(pivots) + 1)
+            begins = np.cumsum(held) - held
+        else:
+            pivots = np.zeros(len(low), np.uint64)
+            pivots[group] = keys
+            at = pivots[group]
+            side = 3 * group + 1 + (keys > at) - (keys < at)
+            held = np.bincount(side, minlength=3 * len(low))
+            begins = np.repeat(low, 3) + (np.cumsum(held.reshape(-1, 3), axis=1) - held.reshape(-1, 3)).ravel()
+            level = keys == at
         depth = depth + 8 * level
         # A lone pointer is in place, and so are those whose terms have ended within the pivot.
         settled = (held[side] == 1) | (level & (sizes[active] < depth))
