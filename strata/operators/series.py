@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import rnd
+from strata.operators.clean import null_safe_join
 from strata.operators.rollup import AGGREGATES, Spec, rounded
 from strata.session import stage
 
@@ -61,9 +62,25 @@ def even_chunks(df: DataFrame, by: list[str], order: list[str], chunks: int | No
 
 
 def rolling(
-    df: DataFrame, by: list[str], order: list[str], n: int, specs: Spec, chunk: Column | None = None
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    n: int | float,
+    specs: Spec,
+    chunk: Column | None = None,
+    frame: str = "rows",
 ) -> DataFrame:
-    """Aggregates over the last ``n`` rows up to and including each row."""
+    """Aggregates over the last ``n`` rows up to and including each row.
+
+    With ``frame="range"``, over the rows of the last ``n`` units of ``order``, one column of numbers, dates (in
+    days) or timestamps (in seconds), as `rolling_range` tells.
+    """
+    if frame not in ("rows", "range"):
+        raise ValueError(f"frame is 'rows' or 'range', not {frame!r}")
+    if frame == "range":
+        if len(order) != 1 or chunk is not None:
+            raise ValueError("a range has one order column and cuts its series itself")
+        return rolling_range(df, by, order[0], n, specs)
 
     def framed(fn: str, col: str, digits: int | None) -> OverSeries:
         return lambda w: rounded(AGGREGATES[fn](col).over(w.rowsBetween(1 - n, 0)), digits)
@@ -94,3 +111,59 @@ def bands(df: DataFrame, avg: str, sd: str, k: float, digits: int, upper: str, l
 def flags(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     """Add boolean columns; a null input gives a null flag."""
     return df.withColumns({name: test.cast("boolean") for name, test in tests.items()})
+
+
+#: Units of order that a chunk of a series spans, in widths of the frame.
+CHUNK_WIDTHS = 16
+
+
+def rolling_range(df: DataFrame, by: list[str], at: str, width: int | float, specs: Spec) -> DataFrame:
+    """Aggregates over the rows of a series from ``width`` units before each row's ``at`` up to it.
+
+    Rows of the same moment have the same frame, so they are first put together, which bounds what one
+    moment weighs however many rows it has. The moments of a series are cut at multiples of ``CHUNK_WIDTHS``
+    widths; those within a width of the end of a chunk are copied into the next one, found by their value,
+    so that every frame is whole in its chunk and no task holds a whole series. A gap leaves frames
+    with fewer rows. Rows without a moment have each other as their frame, null series are series of their own.
+    """
+    kind = dict(df.dtypes)[at]
+    point = {"date": F.unix_date, "timestamp": F.unix_micros}.get(kind, F.col)(at)
+    span = int(width * 1_000_000) if kind == "timestamp" else width
+    length = span * CHUNK_WIDTHS
+    columns = list(dict.fromkeys(col for _, col, _ in specs.values()))
+    parts = {}
+    for i, c in enumerate(columns):
+        v = F.col(c)
+        parts |= {f"_n{i}": F.count(v), f"_sum{i}": F.sum(v), f"_min{i}": F.min(v), f"_max{i}": F.max(v)}
+        if any(fn == "stddev" for fn, col, _ in specs.values() if col == c):
+            parts |= {f"_mean{i}": F.avg(v), f"_sq{i}": F.var_pop(v) * F.count(v)}
+    moments = df.withColumn("_at", point).groupBy(*by, "_at").agg(*[e.alias(k) for k, e in parts.items()])
+    own = F.floor(F.col("_at") / F.lit(length))
+    near_end = F.col("_at") >= (own + 1) * F.lit(length) - F.lit(span)
+    copies = moments.withColumn("_own", own).withColumn(
+        "_chunk", F.explode(F.when(near_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own")))
+    )
+    chunk = Window.partitionBy(*by, "_chunk")
+    frame = chunk.orderBy("_at").rangeBetween(-span, 0)
+    framed = {}
+    for alias, (fn, col, digits) in specs.items():
+        i = columns.index(col)
+        n, total = F.sum(f"_n{i}").over(frame), F.sum(f"_sum{i}").over(frame)
+        if fn == "count":
+            value = n
+        elif fn == "sum":
+            value = total
+        elif fn == "avg":
+            value = F.try_divide(total, n)
+        elif fn in ("min", "max"):
+            value = AGGREGATES[fn](f"_{fn}{i}").over(frame)
+        else:  # squares are taken around the mean of the chunk, so that little is lost by subtracting
+            centre = F.try_divide(F.sum(f"_sum{i}").over(chunk), F.sum(f"_n{i}").over(chunk))
+            off = F.col(f"_mean{i}") - centre
+            squares = F.sum(F.col(f"_sq{i}") + F.col(f"_n{i}") * off * off).over(frame)
+            shift = F.try_divide(total, n) - centre
+            value = F.sqrt(F.greatest(F.when(n > 1, (squares - n * shift * shift) / (n - 1)), F.lit(0.0)))
+            value = F.when(n > 1, value)
+        framed[alias] = rounded(value, digits)
+    whole = copies.withColumns(framed).filter(F.col("_chunk").eqNullSafe(F.col("_own"))).select(*by, "_at", *specs)
+    return null_safe_join(df.withColumn("_at", point), whole, [*by, "_at"], "left").drop("_at")

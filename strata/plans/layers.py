@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.dates import folder_of
-from strata.operators.checks import RESULT, Suite, SuiteReport, summarize
+from strata.functions.dates import folder_of, partition_parts
+from strata.operators.checks import RESULT, QualityGateError, Suite, SuiteReport, summarize
 from strata.operators.monitor import points
-from strata.operators.clean import first_n
 from strata.operators.runs import count_check, freshness_check, no_files
 from strata.params import LEAST_ROWS, QUALITY, QualityParams
 from strata.plans import hourly, price, summary
 from strata.schemas import EXPECTED_FIELDS, HOURLY_PAYLOAD, PRICE_PAYLOAD
 from strata.session import stage, unstage
-from strata.sinks.tables import ROWS, emit_metrics, observed, record_history, write_cleaned, write_curated, write_report
+from strata.plans.tails import forget_tails, leave_tail, rows_before
+from strata.sinks.publish import Outcome, write_audit_publish
+from strata.sinks.tables import HISTORY, ROWS, emit_metrics, observed, record_history, write_report
 from strata.sources.files import file_inventory, inventory_totals, path_exists, read_envelopes, read_layer
 
 
@@ -29,15 +32,6 @@ PAYLOAD_COUNTS = {"weather": hourly.payload_rows, "crypto": price.payload_rows}
 RESULT_COLUMNS = ["suite", "position", "check", "passed", "detail", "value"]
 
 
-class QualityGateError(RuntimeError):
-    """Raised before anything is promoted; carries the report that failed."""
-
-    def __init__(self, report: SuiteReport):
-        lost = [f"{r.check}: {r.detail}" for r in report.results if not r.passed]
-        super().__init__(f"{report.suite} failed {report.failed} of {len(report.results)} checks: {'; '.join(lost)}")
-        self.report = report
-
-
 class MissingLayerError(RuntimeError):
     """Raised when a layer has no files to go on with."""
 
@@ -200,7 +194,7 @@ def layer_check(
         rows = read_layer(spark, f"{base}/{layer}/{dataset}", date, date)
     history = None
     if path_exists(spark, f"{base}/history"):
-        runs = spark.read.schema("row_count bigint, layer string, dataset string, run_date date").parquet(f"{base}/history")
+        runs = spark.read.schema(HISTORY).parquet(f"{base}/history")
         earlier = F.col("run_date") < F.lit(date).cast("date")
         history = runs.filter((F.col("layer") == layer) & (F.col("dataset") == dataset) & earlier)
     files = file_inventory(spark, folder, (pattern or "*") if layer == "raw" else "*.parquet")
@@ -248,74 +242,154 @@ def run_validation(
     return "FAIL" if any(not r[RESULT_COLUMNS.index("passed")] for r in results) else "PASS"
 
 
+@dataclass(frozen=True)
+class Feed:
+    """How the documents of a dataset are cleaned, and what a cleaned table must pass.
+
+    ``clean`` gives good and rejected rows. ``keys`` name a row, of which that first in ``newest`` stays;
+    ``series`` and ``order`` are those of its windows, which look back over ``look_back`` rows.
+    """
+
+    dataset: str
+    payload: T.StructType
+    clean: Callable[[DataFrame, str], tuple[DataFrame, DataFrame]]
+    suite: Callable[[], Suite]
+    keys: list[str]
+    newest: Callable[[], list[Column]]
+    series: list[str]
+    order: list[str]
+    look_back: int
+
+
+FEEDS = {
+    "weather": Feed(
+        "weather",
+        HOURLY_PAYLOAD,
+        hourly.clean,
+        lambda: hourly.suite(hourly.KEYS, QUALITY.min_row_count),
+        hourly.KEYS,
+        hourly.newest_first,
+        ["source"],
+        ["date", "hour"],
+        hourly.LOOK_BACK,
+    ),
+    "crypto": Feed(
+        "crypto",
+        PRICE_PAYLOAD,
+        lambda raw, null_policy: price.clean(raw),
+        price.suite,
+        price.KEYS,
+        price.newest_first,
+        ["currency"],
+        ["date"],
+        price.LOOK_BACK,
+    ),
+}
+
+PARTS = ["year", "month", "day"]
+
+
 def raw_to_cleaned(
-    spark: SparkSession, base: str, date: str, null_policy: str = "drop", multi_line: bool | None = None, pattern: str | None = None
+    spark: SparkSession,
+    base: str,
+    date: str,
+    null_policy: str = "drop",
+    multi_line: bool | None = None,
+    pattern: str | None = None,
+    on_failure: str = "raise",
 ) -> dict[str, dict[str, int]]:
     """Clean the documents landed on ``date`` and replace the cleaned partitions they fall in.
 
     Returns the row and null counts of each dataset, taken along while writing, and under ``_rejected``
     and ``_unreadable`` the rows without a key and the documents that are no JSON. Both are kept under
-    ``rejected`` in the lake. A dataset without files raises, and one that fails its suite, as it does
-    when no row can be kept: nothing of it is written then.
+    ``rejected`` in the lake. The text is parsed once, and a cleaned table is written once: its partitions
+    are checked beside the table and then moved into it. A dataset without files raises. One that fails
+    its suite, as it does when no row can be kept, raises too; with ``on_failure="quarantine"`` its
+    partitions are kept under ``_quarantine`` instead, and its counts hold ``_quarantined``.
     """
-    feeds = {
-        "weather": (lambda raw: hourly.clean(raw, null_policy), hourly.suite(hourly.KEYS, QUALITY.min_row_count)),
-        "crypto": (lambda raw: price.clean(raw), price.suite()),
-    }
     counts = {}
-    for dataset in feeds:
+    for dataset in FEEDS:
         require_files(spark, partition_folder(base, "raw", dataset, date))
-    for dataset, (clean, suite) in feeds.items():
-        raw = read_envelopes(spark, f"{base}/raw", dataset, date, PAYLOADS[dataset], multi_line, pattern)
-        good, rejected = clean(raw)
-        lost = {"_rejected": rejected, "_unreadable": raw.filter(F.col("_corrupt_record").isNotNull())}
-        counts[dataset] = {}
-        for kind, rows in lost.items():
-            counted = Observation(f"{dataset}{kind}")
-            target = f"{base}/rejected/{dataset}/{kind.strip('_')}/{folder_of(date)}"
-            observed(rows, counted).write.mode("overwrite").parquet(target)
-            counts[dataset][kind] = counted.get[ROWS]
+    for dataset, feed in FEEDS.items():
+        parsed = read_envelopes(spark, f"{base}/raw", dataset, date, feed.payload, multi_line, pattern)
+        raw = stage(parsed, "parsed")
+        good, rejected = feed.clean(raw, null_policy)
+        counts[dataset] = keep_rejected(raw, rejected, f"{base}/rejected/{dataset}", folder_of(date))
         seen = Observation(f"cleaned_{dataset}")
-        promote(good, suite, lambda df: write_cleaned(df, f"{base}/cleaned/{dataset}", seen=seen))
-        counts[dataset] = seen.get | counts[dataset]
+        outcome = publish_cleaned(good, base, feed, on_failure, seen)
+        unstage(raw)
+        counts[dataset] = {c: n for c, n in seen.get.items() if c not in PARTS} | counts[dataset]
+        if outcome.status == "quarantined":
+            counts[dataset]["_quarantined"] = counts[dataset].pop(ROWS)
+    return counts
+
+
+def publish_cleaned(rows: DataFrame, base: str, feed: Feed, on_failure: str, seen: Observation | None = None) -> Outcome:
+    """Write, check and publish cleaned partitions; tails that these days may have made wrong go first."""
+    tails = tails_path(base, feed.dataset)
+    return write_audit_publish(
+        partition_parts(rows),
+        f"{base}/cleaned/{feed.dataset}",
+        PARTS,
+        feed.suite(),
+        on_failure,
+        f"{base}/_quarantine",
+        seen,
+        before=lambda partitions: forget_tails(rows.sparkSession, tails, partitions),
+    )
+
+
+def keep_rejected(raw: DataFrame, rejected: DataFrame, path: str, run: str) -> dict[str, int]:
+    """Writes the rows without a key and the unreadable documents of a run, in place of those of an
+    earlier try, and gives their numbers."""
+    counts = {}
+    for kind, rows in {"_rejected": rejected, "_unreadable": raw.filter(F.col("_corrupt_record").isNotNull())}.items():
+        counted = Observation(f"{kind}-{uuid.uuid4().hex}")
+        observed(rows, counted).write.mode("overwrite").parquet(f"{path}/{kind.strip('_')}/{run}")
+        counts[kind] = counted.get[ROWS]
     return counts
 
 
-def from_day(df: DataFrame, start: str | None, by: list[str], order: list[str], rows: int) -> DataFrame:
-    """The rows of ``start`` and later, and the newest ``rows`` before it of each series."""
-    if start is None:
-        return df
-    later = F.col("date") >= F.lit(start).cast("date")
-    before = first_n(df.filter(~later), by, [F.desc(c) for c in order], rows)
-    return df.filter(later).unionByName(before)
+def tails_path(base: str, dataset: str) -> str:
+    return f"{base}/tails/{dataset}"
 
 
-def cleaned_to_curated(spark: SparkSession, base: str, processed_at: dt.datetime, start: str | None = None) -> None:
+def cleaned_to_curated(
+    spark: SparkSession, base: str, processed_at: dt.datetime, start: str | None = None, on_failure: str = "raise"
+) -> dict[str, Outcome]:
     """Rebuild the curated tables from the cleaned rows of ``start`` and later, or from all of them.
 
-    Days before ``start`` stay as they are; of their rows, only those that windows reach back to take
-    part. Each table must pass its suite before it replaces anything.
+    Days before ``start`` stay as they are. Of their rows only those that windows reach back to take part:
+    they come from the tails that earlier runs left, so older folders of the cleaned layer are not
+    read (see `rows_before`). Each table must pass its suite before it replaces anything, and is written
+    once. With ``on_failure="quarantine"`` a failing one is put aside, the others go on.
     """
-    weather_path, crypto_path = (f"{base}/cleaned/{d}" for d in ("weather", "crypto"))
-    require_files(spark, weather_path)
-    require_files(spark, crypto_path)
-    weather, crypto = read_layer(spark, weather_path), read_layer(spark, crypto_path)
-    readings = from_day(weather, start, ["source"], ["date", "hour"], hourly.LOOK_BACK)
-    rates = from_day(crypto, start, ["currency"], ["date"], price.LOOK_BACK)
+    cleaned = {d: f"{base}/cleaned/{d}" for d in FEEDS}
+    for path in cleaned.values():
+        require_files(spark, path)
+    rows, series = {}, {}
+    for dataset, feed in FEEDS.items():
+        rows[dataset] = read_layer(spark, cleaned[dataset], start)
+        series[dataset] = rows[dataset]
+        if start:
+            before = rows_before(spark, cleaned[dataset], tails_path(base, dataset), feed.series, feed.order, feed.look_back, start)
+            series[dataset] = series[dataset].unionByName(before)
     tables = {
-        "daily_summary": (
-            summary.build(read_layer(spark, weather_path, start), read_layer(spark, crypto_path, start), processed_at),
-            summary.suite(),
-        ),
+        "daily_summary": (summary.build(rows["weather"], rows["crypto"], processed_at), summary.suite()),
         "weather_hourly_agg": (
-            hourly.enriched(readings, processed_at),
+            hourly.enriched(series["weather"], processed_at),
             Suite("weather_hourly_agg").not_empty().unique(hourly.KEYS).value_range("hour", 0, 23),
         ),
         "crypto_stats": (
-            price.stats(rates, processed_at),
+            price.stats(series["crypto"], processed_at),
             Suite("crypto_stats").not_empty().unique(price.KEYS).null_rate("rate_usd", 0.0),
         ),
     }
+    outcomes = {}
     for name, (df, suite) in tables.items():
         new = df.filter(F.col("date") >= F.lit(start).cast("date")) if start else df
-        promote(new, suite, lambda d, to=f"{base}/curated/{name}": write_curated(d, to, ["date"]))
+        path = f"{base}/curated/{name}"
+        outcomes[name] = write_audit_publish(new, path, ["date"], suite, on_failure, f"{base}/_quarantine")
+    for dataset, feed in FEEDS.items():
+        leave_tail(series[dataset], tails_path(base, dataset), feed.series, feed.order, feed.look_back, start)
+    return outcomes

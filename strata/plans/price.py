@@ -55,11 +55,14 @@ def typed(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def newest_first() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in ["ingested_at", *FIELDS]]
+
+
 def clean(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One rate per day and currency, the newest landed; and the rows rejected for want of a date."""
     good, rejected = enforce_schema(typed(envelopes), PRICE_CLEANED)
-    order = [F.col(c).desc_nulls_last() for c in ["ingested_at", *FIELDS]]
-    return dedup_latest(positive(good, "rate_usd"), KEYS, order), rejected
+    return dedup_latest(positive(good, "rate_usd"), KEYS, newest_first()), rejected
 
 
 def daily(df: DataFrame, keys: list[str] = ("date",)) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from strata.functions.dates import folder_of
 from strata.functions.numeric import rnd
-from strata.operators.checks import Suite, null_profile, summarize
+from strata.operators.checks import QualityGateError, Suite, null_profile, summarize
 from strata.operators.clean import first_n
 from strata.operators.runs import freshness as freshness_of
 from strata.operators.runs import row_count_anomaly as anomalies
@@ -13,8 +16,7 @@ from strata.params import QUALITY
 from strata.plans import hourly as hourly_plan
 from strata.plans import price as price_plan
 from strata.plans import summary
-from strata.plans.layers import LayerCheck, QualityGateError, promote
-from strata.plans.layers import validate_layer
+from strata.plans.layers import LayerCheck, run_validation, validate_layer
 from strata.plans.layers import validation_report as report_of
 from strata.registry import query
 from strata.registry.rollups import DAILY_COLUMNS, PRICE_COLUMNS
@@ -35,8 +37,9 @@ from strata.registry.views import (
     table,
 )
 from strata.session import scratch_dir
-from strata.sinks.tables import write_report
-from strata.sources.files import file_inventory, path_exists
+from strata.sinks.publish import write_audit_publish
+from strata.sinks.tables import write_cleaned, write_report
+from strata.sources.files import file_inventory
 
 
 def checks_sql(ctes: str, suite: str, rows: list[tuple[str, str, str, str]]) -> str:
@@ -452,18 +455,47 @@ def validation_report(spark, sf_dir):
 
 @query(
     "quality_gate",
-    f"WITH {READINGS} SELECT source, count(*) AS promoted, true AS bad_suite_blocked FROM readings GROUP BY source",
+    f"""WITH {READINGS} SELECT source, count(*) AS promoted, true AS bad_suite_blocked,
+      count(*) FILTER (WHERE temperature_c IS NULL) AS blanks_aside FROM readings GROUP BY source""",
 )
 def quality_gate(spark, sf_dir):
-    """A suite that passes lets the rows through; one that fails leaves nothing behind."""
-    rows = readings(spark, sf_dir)
-    let_through, held_back = scratch_dir(spark, "promoted"), scratch_dir(spark, "blocked")
-    promote(rows, Suite("good").not_empty().value_range("hour", 0, 23), lambda df: df.write.parquet(let_through))
+    """One write each: a suite that passes publishes, one that fails raises and changes nothing, or puts aside."""
+    base = scratch_dir(spark, "gate")
+    path = f"{base}/readings"
+    rows = readings(spark, sf_dir).select("event_id", "source", "hour", "temperature_c")
+    write_audit_publish(rows, path, ["source"], Suite("good").not_empty().value_range("hour", 0, 23))
+    strict = Suite("bad").null_rate("temperature_c", 0.0)
+    blank = rows.filter(F.col("temperature_c").isNull())
     try:
-        promote(rows, Suite("bad").null_rate("temperature_c", 0.0), lambda df: df.write.parquet(held_back), staged=False)
+        write_audit_publish(blank, path, ["source"], strict)
         raised = False
     except QualityGateError:
         raised = True
-    blocked = raised and not path_exists(spark, held_back)
-    counts = spark.read.parquet(let_through).groupBy("source").agg(F.count(F.lit(1)).alias("promoted"))
-    return counts.withColumn("bad_suite_blocked", F.lit(blocked))
+    aside = write_audit_publish(blank, path, ["source"], strict, "quarantine")
+    counted = lambda at, name: spark.read.schema(rows.schema).parquet(at).groupBy("source").agg(F.count(F.lit(1)).alias(name))
+    both = counted(path, "promoted").join(counted(f"{aside.path}/data", "blanks_aside"), "source", "left")
+    blocked = raised and aside.status == "quarantined"
+    return both.select("source", "promoted", F.lit(blocked).alias("bad_suite_blocked"), F.coalesce("blanks_aside", F.lit(0)).alias("blanks_aside"))
+
+
+@query(
+    "validation_without_files",
+    f"""WITH {READINGS}, d AS (SELECT * FROM readings WHERE date = DATE '2024-01-10'),
+    w AS (SELECT 3 + ({blanks('temperature_c')} / count(*)::double <= 0.05)::int + ({blanks('precipitation_mm')} / count(*)::double <= 0.05)::int
+      + ({blanks('windspeed_kmh')} / count(*)::double <= 0.05)::int + 3 AS passed FROM d)
+    SELECT 'FAIL' AS overall_status, 'crypto' AS dataset, 'FAIL' AS overall, 0::bigint AS passed, 1::bigint AS failed, NULL::double AS rows
+    UNION ALL SELECT 'FAIL', 'weather', CASE WHEN passed = 9 THEN 'PASS' ELSE 'FAIL' END, passed::bigint, (9 - passed)::bigint,
+      (SELECT count(*) FROM d)::double FROM w""",
+)
+def validation_without_files(spark, sf_dir):
+    """A layer of which one dataset has files and the other none: both are reported, with their metrics."""
+    base, date = scratch_dir(spark, "lake"), "2024-01-10"
+    write_cleaned(readings(spark, sf_dir).withColumn("ingested_at", F.col("ts")), f"{base}/cleaned/weather")
+    as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(minutes=1)
+    run_validation(spark, base, "cleaned", date, as_of)
+    path = f"{base}/validation_reports/cleaned/{folder_of(date)}/report_{as_of.strftime('%H%M%S')}.json"
+    shape = "overall_status string, datasets array<struct<dataset string, overall string, passed bigint, failed bigint>>"
+    told = spark.read.schema(shape).json(path).select("overall_status", F.inline("datasets"))
+    counts = spark.read.parquet(f"{base}/metrics").filter("name = 'RowCount'")
+    counts = counts.select(F.col("dimensions")["Dataset"].alias("dataset"), F.col("value").alias("rows"))
+    return told.join(counts, "dataset", "left").select("overall_status", "dataset", "overall", "passed", "failed", "rows")

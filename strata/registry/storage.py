@@ -121,16 +121,24 @@ def inventory(spark, sf_dir):
     return listed.join(held, "file").groupBy("folder").agg(F.sum("n").alias("rows"))
 
 
+LINES_PER_FILE = 200
+
+
 @query(
     "file_totals",
-    f"""WITH {READINGS} SELECT {FOLDER} AS folder, true AS has_files, true AS has_bytes
-    FROM readings GROUP BY ALL""",
+    f"""SELECT strftime(ts, '%Y/%m/%d') AS folder, ceil(count(*) / {LINES_PER_FILE}.0)::bigint AS files,
+      sum(strlen(event_id || ' ' || event_type || ' ' || props) + 1)::bigint AS bytes
+    FROM events GROUP BY 1""",
 )
 def totals(spark, sf_dir):
-    """Whether each partition folder of a written layer has files and bytes; their numbers differ by run."""
-    files = by_folder(file_inventory(spark, cleaned_readings(spark, sf_dir), "*.parquet"))
-    found = inventory_totals(files, "folder").filter(F.col("newest").isNotNull())
-    return found.select("folder", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    """Files and bytes of each folder of landed text: a byte for each character and line break."""
+    base = scratch_dir(spark, "landed")
+    line = F.concat_ws(" ", "event_id", "event_type", "props")
+    lines = table(spark, sf_dir, "events").select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    writer = lines.repartition("day").write.option("maxRecordsPerFile", LINES_PER_FILE)
+    writer.partitionBy("day").text(base)
+    found = inventory_totals(file_inventory(spark, base, "*.txt").withColumn("day", F.regexp_extract("path", "day=([0-9-]+)", 1)), "day")
+    return found.select(F.translate("day", "-", "/").alias("folder"), "files", "bytes")
 
 
 @query(

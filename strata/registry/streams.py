@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from strata.operators.monitor import ALARM_RULES
+from strata.functions.dates import folder_of
 from strata.registry import query
-from strata.registry.views import METRICS, metric_points, table
+from strata.registry.cleaning import LATEST_HOUR, TYPED_HOURLY
+from strata.registry.views import LANDED_ON, METRICS, hourly_documents, metric_points, table
 from strata.schemas import METRIC
 from strata.session import scratch_dir
 from strata.sinks.tables import emit_metrics
+from strata.sources.files import read_layer
 from strata.streaming.alarms import alarm_stream as alarms_on
+from strata.streaming.cleaning import clean_new_files, committed
 from strata.streaming.ingest import append, ingest_new_files
 
 
@@ -43,3 +48,35 @@ def alarm_stream(spark, sf_dir):
     rule = next(r for r in ALARM_RULES if r.name == "ingestion-errors")
     append(alarms_on(spark.readStream.schema(METRIC).parquet(stored), rule, "2 hours"), target, checkpoint)
     return spark.read.parquet(target)
+
+
+@query(
+    "incremental_cleaning",
+    f"""WITH {TYPED_HOURLY} SELECT date::varchar AS date, hour, temperature_c, precipitation_mm, windspeed_kmh, source,
+      ingested_at, execution_date, 3 AS batches FROM typed
+    WHERE temperature_c BETWEEN -89 AND 57 AND windspeed_kmh >= 0 AND precipitation_mm >= 0 {LATEST_HOUR}""",
+)
+def incremental_cleaning(spark, sf_dir):
+    """Documents that land in three portions, each cleaned when it arrives, as if cleaned at once.
+
+    The portions share all days, so later ones replace rows of earlier ones. The run of the second breaks off
+    between publishing and the record of its batch, and is repeated.
+    """
+    base = scratch_dir(spark, "lake")
+    documents = hourly_documents(spark, sf_dir)
+
+    def lost(spark, path, record):
+        raise OSError("lost before the record")
+
+    for portion in range(3):
+        own = documents.filter(F.col("event_id") % 3 == portion).select("envelope")
+        own.write.mode("append").text(f"{base}/raw/weather/{folder_of(LANDED_ON)}")
+        if portion == 1:
+            try:
+                clean_new_files(spark, base, "weather", commit=lost)
+            except StreamingQueryException:
+                pass
+        clean_new_files(spark, base, "weather")
+    path = f"{base}/cleaned/weather"
+    spark.catalog.refreshByPath(path)
+    return read_layer(spark, path).withColumn("batches", F.lit(len(committed(spark, base, "weather"))))

@@ -8,6 +8,7 @@ from strata.functions.numeric import rnd
 from strata.operators.series import even_chunks, look_back, rolling
 from strata.plans import hourly as hourly_plan
 from strata.plans import price
+from strata.plans.tails import leave_tail, rows_before
 from strata.registry import query
 from strata.registry.views import (
     HOURLY,
@@ -20,6 +21,9 @@ from strata.registry.views import (
     readings,
     sql_rnd,
 )
+from strata.session import scratch_dir
+from strata.sinks.tables import write_cleaned
+from strata.sources.files import read_layer
 
 DAY = "(PARTITION BY source, date ORDER BY hour ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"
 ALL_DAYS = "(PARTITION BY source ORDER BY date, hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"
@@ -71,6 +75,47 @@ def rolling_events(spark, sf_dir):
     return out.select("event_id", "source", *exprs)
 
 
+@query(
+    "rolling_range",
+    f"""WITH {READINGS}, r AS (SELECT *, date_trunc('hour', ts) AS moment FROM readings)
+    SELECT event_id, source, strftime(moment, '%Y-%m-%d %H:%M:%S') AS moment, count(temperature_c) OVER w AS seen,
+      {sql_rnd('avg(temperature_c) OVER w', 2)} AS rolling_avg, min(temperature_c) OVER w AS rolling_min,
+      max(windspeed_kmh) OVER w AS rolling_max, {sql_rnd('stddev_samp(temperature_c) OVER w', 4)} AS rolling_stddev
+    FROM r WINDOW w AS (PARTITION BY source ORDER BY moment RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)""",
+)
+def rolling_by_time(spark, sf_dir):
+    """The last six hours before each reading, whatever their number; readings of an hour share one frame."""
+    specs = {
+        "seen": ("count", "temperature_c", None),
+        "rolling_avg": ("avg", "temperature_c", 2),
+        "rolling_min": ("min", "temperature_c", None),
+        "rolling_max": ("max", "windspeed_kmh", None),
+        "rolling_stddev": ("stddev", "temperature_c", 4),
+    }
+    rows = readings(spark, sf_dir).withColumn("moment", F.date_trunc("hour", "ts"))
+    out = rolling(rows, ["source"], ["moment"], 6 * 3600, specs, frame="range")
+    return out.select("event_id", "source", "moment", *specs)
+
+
+@query(
+    "rebuild_from_tails",
+    f"""WITH {HOURLY}, w AS (SELECT {BASE}, {SIX}, {DAYLONG}, {FLAGS} FROM hourly)
+    SELECT * FROM w WHERE date >= '2024-01-20'""",
+)
+def rebuild_from_tails(spark, sf_dir):
+    """The curated hours of the days from one day on. Of what lies before, only the newest rows of each
+    series are read, which the run up to that day has left."""
+    base = scratch_dir(spark, "lake")
+    table, tails, start = f"{base}/cleaned/weather", f"{base}/tails/weather", "2024-01-20"
+    how = (["source"], ["date", "hour"], hourly_plan.LOOK_BACK)
+    write_cleaned(hourly(spark, sf_dir), table)
+    leave_tail(read_layer(spark, table, end="2024-01-19"), tails, *how, None)
+    later = read_layer(spark, table, start)
+    series = later.unionByName(rows_before(spark, table, tails, *how, start))
+    out = hourly_plan.enriched(series, PROCESSED_AT).drop("processed_at")
+    return out.filter(F.col("date") >= F.lit(start).cast("date"))
+
+
 @query("heat_index_flags", f"WITH {HOURLY} SELECT source, date::varchar AS date, hour, {FLAGS} FROM hourly")
 def heat_index_flags(spark, sf_dir):
     flagged = hourly_plan.weather_flags(hourly(spark, sf_dir))

@@ -11,6 +11,9 @@ from strata.session import delete_path
 
 ROWS = "_rows"
 
+#: Columns of the run history.
+HISTORY = "row_count bigint, layer string, dataset string, run_date date"
+
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], seen: Observation | None = None) -> None:
     """Replace the partitions that ``df`` has rows for and leave the others alone.
@@ -68,12 +71,13 @@ def record_history(counts: DataFrame, path: str, keep: int = QUALITY.history_run
     """Keep the row count of a run: a rerun of the same date replaces its count.
 
     ``counts`` has ``layer, dataset, run_date, row_count``; there is one row per dataset and run. The
-    newest ``keep`` runs of each dataset stay, and the folders of older ones are removed.
+    newest ``keep`` runs of each dataset stay, and the folders of older ones are removed. Without counts,
+    as when no dataset had files, nothing changes.
     """
     by = ["layer", "dataset", "run_date"]
     write_partitioned(counts, path, by)
     spark = counts.sparkSession
     newest = Window.partitionBy("layer", "dataset").orderBy(F.desc("run_date"))
-    runs = spark.read.parquet(path).select(*by).distinct().withColumn("_age", F.row_number().over(newest))
+    runs = spark.read.schema(HISTORY).parquet(path).select(*by).distinct().withColumn("_age", F.row_number().over(newest))
     for run in runs.filter(F.col("_age") > keep).collect():
         delete_path(spark, f"{path}/layer={run.layer}/dataset={run.dataset}/run_date={run.run_date}")
