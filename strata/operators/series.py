@@ -129,7 +129,7 @@ def rolling_range(df: DataFrame, by: list[str], at: str, width: int | float, spe
     kind = dict(df.dtypes)[at]
     point = {"date": F.unix_date, "timestamp": F.unix_micros}.get(kind, F.col)(at)
     span = int(width * 1_000_000) if kind == "timestamp" else width
-    length = span * CHUNK_WIDTHS
+    length = span * CHUNK_WIDTHS or 1
     columns = list(dict.fromkeys(col for _, col, _ in specs.values()))
     parts = {}
     for i, c in enumerate(columns):

@@ -373,7 +373,7 @@ def cleaned_to_curated(
         series[dataset] = rows[dataset]
         if start:
             before = rows_before(spark, cleaned[dataset], tails_path(base, dataset), feed.series, feed.order, feed.look_back, start)
-            series[dataset] = series[dataset].unionByName(before)
+            series[dataset] = series[dataset].unionByName(before, allowMissingColumns=True)
     tables = {
         "daily_summary": (summary.build(rows["weather"], rows["crypto"], processed_at), summary.suite()),
         "weather_hourly_agg": (

@@ -40,16 +40,15 @@ def rows_before(spark: SparkSession, layer: str, tails: str, by: list[str], orde
     ``layer`` after it; without a tail from all partitions before ``start``.
     """
     last = (dt.date.fromisoformat(start) - dt.timedelta(1)).isoformat()
-    table = read_layer(spark, layer)
     days = [day for day in tail_days(spark, tails) if day <= last]
     if not days:
         return newest(read_layer(spark, layer, end=last), by, order, n)
     day = max(days)
-    tail = spark.read.schema(table.schema).parquet(f"{tails}/{UP_TO}{day}")
+    tail = spark.read.parquet(f"{tails}/{UP_TO}{day}")
     if day == last:
         return tail
     after = (dt.date.fromisoformat(day) + dt.timedelta(1)).isoformat()
-    return newest(tail.unionByName(read_layer(spark, layer, after, last)), by, order, n)
+    return newest(tail.unionByName(read_layer(spark, layer, after, last), allowMissingColumns=True), by, order, n)
 
 
 def leave_tail(series: DataFrame, tails: str, by: list[str], order: list[str], n: int, start: str | None) -> None:
