@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.dates import folder_of
 from strata.schemas import envelope
+from strata.sources.csvtext import BLOCK, UPLOAD, lines_of, records, single_lines
 
 DATE_COLUMNS = ("year", "month", "day")
 
@@ -74,25 +78,30 @@ def read_csv_upload(
     """The columns of ``schema`` from CSV files, found by the names in the header, in whatever order.
 
     Columns the files have besides are left out, those they lack are null. The files below ``path``
-    must have the same header, or reading raises. ``multi_line`` lets quoted values hold line breaks;
-    each file is then read by one task. ``corrupt`` names a column for the text of lines that do not
-    fit: their unfit values are null.
+    must have the same header, or reading raises. ``multi_line`` lets quoted values hold line breaks; large
+    files are read by many tasks all the same, see `csvtext`. ``corrupt`` names a column for the text of
+    records that do not fit: their unfit values are null.
     """
     declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    if file_inventory(spark, path).isEmpty():
-        found = spark.createDataFrame([], declared)
-        return found.withColumn(corrupt, F.lit(None).cast("string")) if corrupt else found
-    files = spark.read.option("recursiveFileLookup", True).option("header", True).option("escape", '"')
-    files = files.option("multiLine", multi_line)
-    names = files.csv(path).columns
+    lines = lines_of(spark, path)
+    found = (records(lines) if multi_line else single_lines(lines)).where("record <> ''")
+    heads = found.where("first").select("record").distinct().limit(2).collect()
+    if not heads:
+        empty = spark.createDataFrame([], declared)
+        return empty.withColumn(corrupt, F.lit(None).cast("string")) if corrupt else empty
+    if len(heads) > 1:
+        raise ValueError(f"files with different headers: {heads[0].record!r} and {heads[1].record!r}")
+    names = next(csv.reader(io.StringIO(heads[0].record, newline=""), doublequote=True))
     types = {f.name: f.dataType for f in declared}
     read = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
     if corrupt:
         read = read.add(corrupt, T.StringType())
-        files = files.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
-    df = files.schema(read).option("enforceSchema", False).csv(path)
-    columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast(t).alias(c) for c, t in types.items()]
-    return df.select(*columns, *([corrupt] if corrupt else []))
+        options["columnNameOfCorruptRecord"] = corrupt
+    layout = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in read)
+    parsed = found.where("NOT first").select(F.from_csv("record", layout, options).alias("row"))
+    columns = [F.col(f"row.`{c}`").alias(c) if c in names else F.lit(None).cast(t).alias(c) for c, t in types.items()]
+    return parsed.select(*columns, *([f"row.`{corrupt}`"] if corrupt else []))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -104,10 +113,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def land_csv(spark: SparkSession, path: str, raw_base: str, name: str, date: str, stamp: str) -> DataFrame:
     """Copy an uploaded CSV file, or a folder of them, into the raw layer and give one status row.
 
-    The text is not parsed: each file's lines are copied as they are and in order, into one file of
-    its own, so that headers stay on top and quoted line breaks whole. Its parts are read by many
-    tasks and put in order on disk. A last line without a line break gets one. An empty or missing path
-    is no failure: the row then says ``skipped`` and why.
+    The text is not parsed, and its order kept: each block in which Spark reads a file becomes one file, in a
+    folder ``upload=/block=`` named by its file and its place there, so that the blocks of an upload in
+    order are the upload. Nothing is shuffled, and a large file is copied by many tasks. A last line
+    without a line break gets one. An empty or missing path is no failure: the row then says ``skipped`` and why.
     """
     target, reason, size_kb = None, None, None
     if not path:
@@ -116,14 +125,10 @@ def land_csv(spark: SparkSession, path: str, raw_base: str, name: str, date: str
         reason = "file not found"
     else:
         target = f"{raw_base}/flat_files/{folder_of(date)}/{name}_{stamp}.csv"
-        lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path).select(
-            "value",
-            F.xxhash64("_metadata.file_path").alias("upload"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_line"),
-        )
-        ordered = lines.repartition("upload").sortWithinPartitions("upload", "_block", "_line")
-        ordered.select("value", "upload").write.mode("overwrite").option("lineSep", "\n").partitionBy("upload").text(target)
+        lines = lines_of(spark, path)
+        upload, block = F.hex(F.xxhash64("file")).alias(UPLOAD), F.lpad(F.col("start").cast("string"), 18, "0").alias(BLOCK)
+        ordered = lines.select("value", upload, block, "line").sortWithinPartitions(UPLOAD, BLOCK, "line")
+        ordered.drop("line").write.mode("overwrite").option("lineSep", "\n").partitionBy(UPLOAD, BLOCK).text(target)
         size_kb = inventory_totals(file_inventory(spark, path)).head().bytes / 1024
     return spark.createDataFrame(
         [(name, "skipped" if reason else "success", target, reason, size_kb)],

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import gzip
 import json
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.schemas import HOURLY_PAYLOAD
 from strata.session import scratch_dir, stage
 from strata.sinks.tables import emit_metrics, record_history, write_cleaned, write_curated, write_partitioned
+from strata.sources.csvtext import lines_of, records
 from strata.sources.files import (
     file_inventory,
     inventory_totals,
@@ -22,6 +24,7 @@ from strata.sources.files import (
     read_layer,
     register,
 )
+from tests.test_plans import physical
 
 DAYS = [dt.date(2024, 1, 30) + dt.timedelta(days=i) for i in range(4)]
 
@@ -135,11 +138,68 @@ def test_a_csv_of_many_parts_keeps_its_order(spark, tmp_path):
         row = land_csv(spark, str(upload), str(tmp_path / "raw"), "ids", "2024-01-05", "T").head()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    (landed,) = (tmp_path / "raw").rglob("part-*")
-    assert landed.read_text() == upload.read_text() + "\n"
+    landed = sorted((tmp_path / "raw").rglob("part-*"))
+    assert len(landed) > 10  # one for each block that the file was read in
+    assert "".join(p.read_text() for p in landed) == upload.read_text() + "\n"
     assert read_csv_upload(spark, row.uri, "id int").count() == 50_000
 
 
+def quoted_upload(path, n):
+    """Records of which many have quoted values with line breaks, commas, quotes and blank lines."""
+    rows = []
+    for i in range(n):
+        note = ["plain", "two\nlines", 'a "quoted"\n\n, one', "\n" * (i % 9), "x,y", "", "long\n" * (i % 40)][i % 7]
+        rows.append((i, note, i % 10))
+    with open(path, "w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\r\n" if n % 2 else "\n")
+        writer.writerow(["note", "extra\nname", "id", "k"])
+        writer.writerows([note, "", i, k] for i, note, k in rows)
+    return [(i, note or None, k) for i, note, k in rows]
+
+
+@pytest.mark.parametrize("block", ["500", "4000", "10000000"])
+@pytest.mark.parametrize("land", [True, False])
+def test_records_with_line_breaks_are_found_in_all_blocks(spark, tmp_path, block, land):
+    (tmp_path / "up").mkdir()
+    want = quoted_upload(tmp_path / "up" / "a.csv", 700) + quoted_upload(tmp_path / "up" / "b.csv", 351)
+    (tmp_path / "up" / "c.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        path = str(tmp_path / "up")
+        if land:
+            path = land_csv(spark, path, str(tmp_path / "raw"), "notes", "2024-01-05", "T").head().uri
+        rows = read_csv_upload(spark, path, "id int, note string, k int, absent date", multi_line=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.id, r.note or "", r.k) for r in rows) == sorted((i, note or "", k) for i, note, k in want)
+    assert all(r.absent is None for r in rows)
+
+
+def test_a_quote_that_never_closes(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('id,note\n1,a\n2,"b\n3,c\n')
+    rows = read_csv_upload(spark, str(tmp_path / "open.csv"), "id int, note string", multi_line=True, corrupt="_bad").collect()
+    assert (rows[0].id, rows[0].note) == (1, "a") and len(rows) == 2
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note\n1,a\n")
+    (tmp_path / "b.csv").write_text("note,id\na,1\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv_upload(spark, str(tmp_path), "id int")
+
+
+def test_one_large_upload_is_read_by_many_tasks(spark, tmp_path):
+    quoted_upload(tmp_path / "a.csv", 4000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        lines = lines_of(spark, str(tmp_path / "a.csv"))
+        assert lines.select("start").distinct().count() > 10
+        found = records(lines).select("record")
+        assert "Exchange hashpartitioning(file" in physical(found) and found.count() == 4001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_csv_without_a_line(spark, tmp_path):
     (tmp_path / "none.csv").write_text("")
     row = land_csv(spark, str(tmp_path / "none.csv"), str(tmp_path / "raw"), "none", "2024-01-05", "T").head()
