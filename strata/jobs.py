@@ -15,6 +15,7 @@ from strata.plans.layers import PAYLOADS, cleaned_to_curated, raw_to_cleaned, ru
 from strata.session import build_session
 from strata.sinks.tables import emit_metrics
 from strata.sources.files import land_csv, read_layer
+from strata.streaming.cleaning import clean_new_files
 
 
 def land(spark: SparkSession, args: argparse.Namespace, now: dt.datetime) -> None:
@@ -46,11 +47,15 @@ def run(spark: SparkSession, args: argparse.Namespace, now: dt.datetime) -> int:
         land(spark, args, now)
     elif args.job == "land-csv":
         land_csv(spark, args.input, f"{args.base}/raw", args.dataset, args.date, now.strftime("%Y%m%dT%H%M%SZ")).show(truncate=False)
+    elif args.job == "raw-to-cleaned" and args.incremental:
+        for dataset in PAYLOADS:
+            for record in clean_new_files(spark, args.base, dataset, args.null_policy, lines, args.pattern, args.files_per_batch, args.on_failure):
+                print(dataset, record)
     elif args.job == "raw-to-cleaned":
-        print(raw_to_cleaned(spark, args.base, args.date, args.null_policy, lines, args.pattern))
+        print(raw_to_cleaned(spark, args.base, args.date, args.null_policy, lines, args.pattern, args.on_failure))
         log_nulls(spark, args, "cleaned", list(PAYLOADS), "DQ_METRICS", now)
     elif args.job == "cleaned-to-curated":
-        cleaned_to_curated(spark, args.base, now, None if args.all_dates else args.date)
+        cleaned_to_curated(spark, args.base, now, None if args.all_dates else args.date, args.on_failure)
         log_nulls(spark, args, "curated", ["daily_summary"], "CURATED_METRICS", now)
     else:
         status = run_validation(spark, args.base, args.layer, args.date, now, multi_line=lines, pattern=args.pattern)
@@ -70,6 +75,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--source", default="files", help="source named in landed documents")
     parser.add_argument("--layer", default="raw", choices=["raw", "cleaned", "curated"])
     parser.add_argument("--null-policy", default="drop", choices=["drop", "keep"])
+    parser.add_argument("--incremental", action="store_true", help="clean the documents of all dates that landed since the last run")
+    parser.add_argument("--files-per-batch", type=int, help="most files of a kind in a batch of incremental cleaning")
+    parser.add_argument("--on-failure", default="raise", choices=["raise", "quarantine"], help="what becomes of a table that fails its suite")
     parser.add_argument("--json-lines", action="store_true", help="raw files hold one document per line")
     parser.add_argument("--pattern", help="names of the raw files; landed lines and *.json if not given")
     args = parser.parse_args(argv)

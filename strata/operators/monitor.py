@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +123,27 @@ def alarms(metrics: DataFrame, rules: list[AlarmRule]) -> DataFrame:
     )
 
 
+def alarm_transitions(evaluated: DataFrame, rules: list[AlarmRule], as_of: Column) -> DataFrame:
+    """``alarm, at, state``: when each alarm of `alarms` went to ALARM, and when back to OK.
+
+    An alarm rings from the start of a breached period until the first one that is not; a period without
+    points is none. One that would end after ``as_of`` still rings and has no end yet.
+    """
+    seconds = F.coalesce(*[F.when(F.col("alarm") == r.name, F.lit(r.period_seconds)) for r in rules])
+    along = Window.partitionBy("alarm").orderBy("_start")
+    rings = evaluated.filter("breached").select("alarm", F.unix_seconds("period_start").alias("_start"), seconds.alias("_length"))
+    rings = rings.withColumns({"_before": F.lag("_start").over(along), "_after": F.lead("_start").over(along)})
+    begins = F.col("_before").isNull() | (F.col("_before") + F.col("_length") < F.col("_start"))
+    end = F.col("_start") + F.col("_length")
+    ends = (F.col("_after").isNull() | (F.col("_after") > end)) & (F.timestamp_seconds(end) <= as_of)
+
+    def change(when: Column, at: Column, state: str) -> Column:
+        return F.when(when, F.struct(F.timestamp_seconds(at).alias("at"), F.lit(state).alias("state")))
+
+    changes = F.array_compact(F.array(change(begins, F.col("_start"), "ALARM"), change(ends, end, "OK")))
+    return rings.select("alarm", F.inline(changes))
+
+
 def active_alarms(evaluated: DataFrame, rules: list[AlarmRule], as_of: Column) -> DataFrame:
     """Alarms breached in the period that holds ``as_of``; missing data is no breach."""
     seconds = F.coalesce(*[F.when(F.col("alarm") == r.name, F.lit(r.period_seconds)) for r in rules])

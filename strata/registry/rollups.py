@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strata.operators.sketches import keep_sketches, quantiles
 from strata.plans import price, summary
 from strata.registry import query
 from strata.registry.views import (
@@ -15,6 +21,7 @@ from strata.registry.views import (
     shipments,
     sql_rnd,
 )
+from strata.session import scratch_dir
 
 DAILY_COLUMNS = f"""{sql_rnd('avg(temperature_c)', 2)} AS avg_temp_c, {sql_rnd('max(temperature_c)', 2)} AS max_temp_c,
   {sql_rnd('min(temperature_c)', 2)} AS min_temp_c, {sql_rnd('stddev_samp(temperature_c)', 4)} AS stddev_temp_c,
@@ -50,3 +57,47 @@ def daily_price(spark, sf_dir):
 )
 def daily_summary(spark, sf_dir):
     return summary.build(shipments(spark, sf_dir), rates(spark, sf_dir), PROCESSED_AT)
+
+
+@query(
+    "sketch_medians",
+    f"""WITH {READINGS}, v AS (
+      SELECT date, source, unnest(['temperature_c', 'windspeed_kmh']) AS "column", unnest([temperature_c, windspeed_kmh]) AS x FROM readings)
+    SELECT 'day' AS period, date::varchar AS start, source, "column", count(x) AS n, quantile_disc(x, 0.5) AS median FROM v GROUP BY ALL
+    UNION ALL SELECT 'month', date_trunc('month', date)::date::varchar, source, "column", count(x), quantile_disc(x, 0.5) FROM v GROUP BY ALL""",
+)
+def sketch_medians(spark, sf_dir):
+    """Medians of days and months from sketches that two runs have stored, the second in place of some days."""
+    path, cols = scratch_dir(spark, "sketches"), ["temperature_c", "windspeed_kmh"]
+    rows = readings(spark, sf_dir)
+    keep_sketches(rows.withColumn("temperature_c", F.lit(0.0)), path, ["source"], cols)
+    keep_sketches(rows, path, ["source"], cols)
+    stored = spark.read.parquet(path)
+    days = quantiles(stored, ["date", "source"]).select(F.lit("day").alias("period"), F.col("date").alias("start"), "source", "column", "n", "value")
+    months = quantiles(stored.withColumn("start", F.trunc("date", "month")), ["start", "source"])
+    months = months.select(F.lit("month").alias("period"), "start", "source", "column", "n", "value")
+    return days.unionByName(months).withColumnRenamed("value", "median")
+
+
+@query(
+    "sketch_rank_error",
+    f"""WITH {READINGS}, q AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS q)
+    SELECT q, (SELECT count(temperature_c) FROM readings) AS n, true AS close FROM q""",
+)
+def sketch_rank_error(spark, sf_dir):
+    """Quantiles of all readings from the stored sketches of days and sources, whose true ranks are counted."""
+    path = scratch_dir(spark, "sketches")
+    rows = readings(spark, sf_dir).select("date", "source", "temperature_c")
+    keep_sketches(rows, path, ["source"], ["temperature_c"])
+    stored = spark.read.parquet(path)
+    ranks = [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = [quantiles(stored, [], q).select(F.lit(q).alias("q"), "n", "value") for q in ranks]
+    values = reduce(DataFrame.unionByName, found)
+    table = values.agg(F.collect_list(F.struct("q", "n", "value")).alias("at")).scalar()
+    each = rows.where("temperature_c IS NOT NULL").select("temperature_c", F.explode(table).alias("at"))
+    counted = each.groupBy("at.q", "at.n").agg(
+        F.avg((F.col("temperature_c") < F.col("at.value")).cast("double")).alias("below"),
+        F.avg((F.col("temperature_c") <= F.col("at.value")).cast("double")).alias("upto"),
+    )
+    close = (F.col("below") <= F.col("q") + 0.005) & (F.col("upto") >= F.col("q") - 0.005)
+    return counted.select("q", "n", close.alias("close"))

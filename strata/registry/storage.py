@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import rnd
+from strata.operators.runs import row_count_anomaly
+from strata.params import RetentionRule
 from strata.plans import price, summary
+from strata.plans.layers import PARTS
 from strata.registry import query
 from strata.registry.rollups import PRICE_COLUMNS
 from strata.registry.views import (
@@ -22,15 +25,17 @@ from strata.registry.views import (
     table,
 )
 from strata.session import scratch_dir
+from strata.sinks.publish import expire_partitions
 from strata.sinks.tables import write_cleaned, write_curated
+from strata.sources.catalog import open_catalog, register_table
 from strata.sources.files import (
     file_inventory,
     inventory_totals,
     land_csv,
     read_csv_upload,
     read_layer,
-    register,
 )
+from strata.sources.footers import footer_counts
 
 DAY_STATS = f"""count(*) AS n, {sql_rnd('avg(temperature_c)', 3)} AS avg_temp, max(windspeed_kmh) AS max_wind,
   max(event_id) AS last_event"""
@@ -173,15 +178,19 @@ def write_curated_roundtrip(spark, sf_dir):
       {sql_rnd('sum(value::decimal(18,2))', 2)} AS total FROM events GROUP BY event_type""",
 )
 def catalog_sql(spark, sf_dir):
-    """Files of two schemas as one table: the older half of each day lacks a column."""
-    path = scratch_dir(spark, "catalog")
+    """Files of two schemas as one table, the older half of each day lacks a column; read by name in a
+    later session, which finds the table in the catalog folder."""
+    path, folder = scratch_dir(spark, "events"), scratch_dir(spark, "catalog")
     events = table(spark, sf_dir, "events")
     afternoon = F.hour("ts") >= 12
     events.filter(~afternoon).drop("props").write.parquet(f"{path}/part=old")
     events.filter(afternoon).write.parquet(f"{path}/part=new")
     name = f"events_{uuid.uuid4().hex}"
-    register(spark, name, path)
-    return spark.sql(
+    register_table(spark, name, path, folder)
+    spark.sql(f"DROP TABLE {name}")  # what the end of an application does to a catalog in memory
+    later = spark.newSession()
+    open_catalog(later, folder)
+    return later.sql(
         f"""SELECT event_type, count(*) AS n, count(props) AS with_props,
           CAST(round(sum(CAST(value AS decimal(18,2))), 2) AS double) AS total FROM {name} GROUP BY event_type"""
     )
@@ -207,3 +216,39 @@ def curated_summary_roundtrip(spark, sf_dir):
             F.count(F.when(F.col("btc_usd_avg").isNull(), 1)).alias("days_without_price"),
         )
     )
+
+
+@query(
+    "footer_counts",
+    f"""WITH {READINGS}, r AS (
+      SELECT date, count(*) AS rows, min(event_id) AS min_event_id, max(event_id) AS max_event_id, min(hour)::int AS min_hour,
+        max(hour)::int AS max_hour, min(windspeed_kmh) AS min_windspeed_kmh, max(windspeed_kmh) AS max_windspeed_kmh
+      FROM readings GROUP BY date),
+    w AS (SELECT *, count(rows) OVER p AS points, avg(rows) OVER p AS mean, stddev_samp(rows) OVER p AS sd FROM r
+      WINDOW p AS (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+    SELECT date::varchar AS date, rows, min_event_id, max_event_id, min_hour, max_hour, min_windspeed_kmh, max_windspeed_kmh, points,
+      {sql_rnd('CASE WHEN points >= 3 THEN abs(rows - mean) / CASE WHEN sd = 0 THEN 1 ELSE sd END END', 4)} AS z
+    FROM w""",
+)
+def footers(spark, sf_dir):
+    """Rows and extremes of each day of a layer, and whether its count is unusual, without reading a row."""
+    extremes = ["event_id", "hour", "windspeed_kmh"]
+    counts = footer_counts(spark, cleaned_readings(spark, sf_dir), ["year", "month", "day"], extremes)
+    dated = counts.select(
+        F.make_date("year", "month", "day").alias("date"), F.lit("cleaned").alias("layer"), *[c for c in counts.columns if c not in PARTS]
+    )
+    judged = row_count_anomaly(dated, ["layer"], ["date"], "rows")
+    return judged.select("date", "rows", *[f"{end}_{c}" for c in extremes for end in ("min", "max")], "points", rnd("z", 4).alias("z"))
+
+
+@query(
+    "retention_expired",
+    f"""WITH {READINGS} SELECT date::varchar AS date, count(*) AS rows FROM readings
+    WHERE date >= (SELECT max(date) FROM readings) - 10 GROUP BY date""",
+)
+def retention_expired(spark, sf_dir):
+    """What is left of a layer once partitions of more than ten days before its newest are deleted."""
+    path = cleaned_readings(spark, sf_dir)
+    newest = readings(spark, sf_dir).agg(F.max("date")).head()[0]
+    expire_partitions(spark, path, RetentionRule(3, 7, 10), newest)
+    return read_layer(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from strata.operators.monitor import ALARM_RULES
+from strata.operators.monitor import ALARM_RULES, alarm_transitions
 from strata.functions.dates import folder_of
 from strata.registry import query
 from strata.registry.cleaning import LATEST_HOUR, TYPED_HOURLY
+from strata.registry.monitoring import ALARM_COLUMNS, ALARMS
 from strata.registry.views import LANDED_ON, METRICS, hourly_documents, metric_points, table
 from strata.schemas import METRIC
 from strata.session import scratch_dir
 from strata.sinks.tables import emit_metrics
 from strata.sources.files import read_layer
 from strata.streaming.alarms import alarm_stream as alarms_on
+from strata.streaming.alarms import current_alarms, keep_totals, running_totals
 from strata.streaming.cleaning import clean_new_files, committed
 from strata.streaming.ingest import append, ingest_new_files
 
@@ -50,6 +52,43 @@ def alarm_stream(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def kept_totals(spark, sf_dir):
+    """Totals of the metric points that a stream got in four portions, each with points of all days."""
+    stored, target, checkpoint = (scratch_dir(spark, n) for n in ("metrics", "totals", "totals-state"))
+    points = metric_points(spark, sf_dir)
+    for portion in range(4):
+        emit_metrics(points.filter(F.pmod(F.xxhash64("ts", "name"), F.lit(4)) == portion), stored)
+        stream = spark.readStream.schema(METRIC).parquet(stored)
+        keep_totals(running_totals(stream, ALARM_RULES, "40 days"), target, checkpoint)
+    spark.catalog.refreshByPath(target)
+    return target
+
+
+@query("alarm_updates", f"WITH {ALARMS} SELECT {ALARM_COLUMNS} FROM evaluated")
+def alarm_updates(spark, sf_dir):
+    """All rules on one stream of points that come late, with the hours and days that are still open."""
+    return current_alarms(spark, kept_totals(spark, sf_dir), ALARM_RULES)
+
+
+@query(
+    "alarm_transitions",
+    f"""WITH {ALARMS}, b AS (
+      SELECT alarm, start, CASE WHEN alarm = 'validation-failure' THEN INTERVAL 1 DAY ELSE INTERVAL 1 HOUR END AS len
+      FROM evaluated WHERE breached),
+    w AS (SELECT *, lag(start) OVER a AS before, lead(start) OVER a AS after FROM b WINDOW a AS (PARTITION BY alarm ORDER BY start)),
+    t AS (
+      SELECT alarm, start AS moment, 'ALARM' AS state FROM w WHERE before IS NULL OR before + len < start
+      UNION ALL SELECT alarm, start + len, 'OK' FROM w
+      WHERE (after IS NULL OR after > start + len) AND start + len <= (SELECT max(ts) FROM events))
+    SELECT alarm, strftime(moment, '%Y-%m-%d %H:%M:%S') AS moment, state FROM t""",
+)
+def transitions(spark, sf_dir):
+    """When each rule went to ALARM and back, from the totals of the stream."""
+    as_of = table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    found = alarm_transitions(current_alarms(spark, kept_totals(spark, sf_dir), ALARM_RULES), ALARM_RULES, as_of)
+    return found.withColumnRenamed("at", "moment")
+
+
 @query(
     "incremental_cleaning",
     f"""WITH {TYPED_HOURLY} SELECT date::varchar AS date, hour, temperature_c, precipitation_mm, windspeed_kmh, source,

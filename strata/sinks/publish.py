@@ -10,7 +10,9 @@ changes places a reader may miss it for a moment, and in stores without renames
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from strata.operators.checks import QualityGateError, Suite, SuiteReport
+from strata.params import RetentionRule
 from strata.session import delete_path
 from strata.sinks.tables import write_partitioned
 
@@ -81,6 +84,24 @@ def write_audit_publish(
     return Outcome("quarantined", aside, found, report)
 
 
+def expire_partitions(spark: SparkSession, path: str, rule: RetentionRule, as_of: dt.date) -> list[str]:
+    """Delete the day partitions of a table that are older than ``rule`` keeps them; gives their folders.
+
+    The folders may be ``date=``, ``year=/month=/day=`` or ``yyyy/mm/dd``; others are left alone, and so is
+    everything under a rule that keeps all.
+    """
+    if rule.expire_days is None:
+        return []
+    oldest, gone = as_of - dt.timedelta(rule.expire_days), []
+    for by, pattern in ((["date"], r"date=(\d+)-(\d+)-(\d+)"), (["year", "month", "day"], r"year=(\d+)/month=(\d+)/day=(\d+)"), (3, r"(\d{4})/(\d\d)/(\d\d)")):
+        for partition in _partitions(spark, path, by):
+            found = re.fullmatch(pattern, partition)
+            if found and dt.date(*map(int, found.groups())) < oldest:
+                delete_path(spark, f"{path}/{partition}")
+                gone.append(partition)
+    return gone
+
+
 def publish(spark: SparkSession, audit: str, path: str) -> None:
     """Moves the partitions that the manifest of ``audit`` names to the table; goes on where it stopped."""
     for partition in json.loads(get_text(spark, f"{audit}/{MANIFEST}")):
@@ -108,13 +129,15 @@ def _read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _partitions(spark: SparkSession, path: str, by: list[str]) -> list[str]:
-    """Folders of the partitions below ``path``, relative to it; the table itself without ``by``."""
+def _partitions(spark: SparkSession, path: str, by: list[str] | int) -> list[str]:
+    """Folders of the partitions below ``path``, relative to it; the table itself without ``by``. A number
+    asks for folders of any names at that depth."""
     if not by:
         return [""]
+    names = ["*"] * by if isinstance(by, int) else [f"{c}=*" for c in by]
     fs, at = _at(spark, path)
     root = fs.makeQualified(at).toString()
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(at, "/".join(f"{c}=*" for c in by))
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(at, "/".join(names))
     return sorted(s.getPath().toString()[len(root) + 1 :] for s in fs.globStatus(pattern))
 
 

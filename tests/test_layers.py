@@ -182,11 +182,12 @@ def test_jobs_from_landing_to_curated(spark, tmp_path):
         assert main(["land", "--dataset", dataset, "--input", str(payload), "--source", "api", *common]) == 0
     for job in (["validate"], ["raw-to-cleaned"], ["cleaned-to-curated"], ["validate", "--layer", "curated"]):
         assert main([*job, *common]) == 0
+    assert main(["raw-to-cleaned", "--incremental", *common]) == 0
     with pytest.raises(MissingLayerError):
         main(["raw-to-cleaned", "--base", str(base), "--date", "2024-01-06"])
     names = spark.read.parquet(f"{base}/metrics").groupBy("name").count().collect()
     found = {r.name: r["count"] for r in names}
-    assert (found["PipelineSuccess"], found["PipelineFailure"], found["RecordsIngested"]) == (6, 1, 2)
+    assert (found["PipelineSuccess"], found["PipelineFailure"], found["RecordsIngested"]) == (7, 1, 2)
     assert spark.read.parquet(f"{base}/curated/daily_summary").head().avg_temp_c == 21.5
 
 
