@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.bits import LARGEST, bit_pages, bit_set, page_of, place_of
+
 PACKAGE = __name__.split(".")[0]
 ARCHIVE = f"{PACKAGE}.zip"
 
@@ -56,6 +58,23 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left"
     return rows.join(renamed, same, how).drop(*[f"__{k}" for k in keys])
 
 
+def sifted(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``, a staged table of distinct keys.
+
+    Done ahead of a join with ``wanted``, so that rows it drops are not shuffled. The keys set bits, eight or
+    more for each key up to ``bits.LARGEST`` in all, which go to all tasks; that size is the bound of
+    the broadcast. Where so many bits tell too little, ``rows`` come back as they are.
+    """
+    n = wanted.count()
+    bits = min(1 << max(15, (8 * n).bit_length()), LARGEST)
+    if 2 * n > bits:
+        return rows
+    hashed = F.pmod(F.xxhash64(key), F.lit(bits)).cast("long")
+    table = F.broadcast(bit_pages(wanted, hashed))
+    paged = rows.withColumn("_page", page_of(hashed)).join(table, "_page")
+    return paged.where(bit_set(F.col("_bits"), place_of(hashed))).select(*rows.columns)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches in which equal values of ``key``, a long, lie together."""
     held: list[pa.RecordBatch] = []

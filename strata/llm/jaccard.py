@@ -4,7 +4,8 @@ A document is the set of hashes of its word n-grams. Two sets of similarity t ca
 share a token among the first n - ceil(t n) + 1 of each, whatever order all tokens are put in. Three
 orders are used. The first puts rare tokens in front and is joined on: documents that share a token of
 their prefixes meet in a group. The other two are orders by hash; of the pairs that meet, only those
-that also share a prefix token under both are verified, by counting the tokens they share.
+that also share prefix tokens under both are verified, by counting the tokens they share: as many as it
+takes to reach t with all that lies behind the prefixes.
 
 Only the tokens in the lowest part of the hash range are counted, one and a half prefixes per document;
 they stand first, by their counts, and the others follow by hash. Tokens without a second document
@@ -13,20 +14,22 @@ come before all others, so a document with enough of them is done.
 Equal sets are one. A group is named by its smallest member, its center, and holds all sets that share a
 token with it. Every set is first compared in one of its groups; what is compared together gives a tree
 of links rather than all of them. Then the tokens whose sets are still in several components are looked
-at again, and their sets compared in full, so no link is lost. Large groups are dealt to blocks, which are
-compared pairwise.
+at again, and their sets compared in full, so no link is lost: those of large groups in pairs of blocks,
+left out where sizes or a common component rule links out. There the prefixes are compared first, and
+only sets with a candidate are fetched whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import attach, mixed, whole_groups
+from strata.llm.common import attach, mixed, sifted, whole_groups
 from strata.llm.components import components, joined
 from strata.session import release, stage, unstage
 
@@ -42,6 +45,9 @@ COUNTED = 1.5
 #: Fixed odd multipliers of the orders by hash.
 ORDERS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
+#: Columns of a set's prefixes under them.
+PREFIXES = ("second", "third")
+
 VALUES = np.zeros(256, np.uint64)
 VALUES[:] = np.arange(1, 257)
 VALUES[[9, 10, 11, 12, 13, 32]] = 0
@@ -127,9 +133,9 @@ def set_ids(sets: list[np.ndarray]) -> np.ndarray:
     return mixed(sums + np.array([len(s) for s in sets], np.uint64)).view(np.int64)
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
+def _lists(values: list[np.ndarray], kind: type = np.int64) -> pa.Array:
     offsets = np.cumsum([0, *[len(v) for v in values]], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, kind)))
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
@@ -152,12 +158,16 @@ def _sketch(n: int, percent: int):
     return sketch
 
 
-def _full(n: int):
+def _full(n: int, percent: int):
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sets that are asked for, each once."""
+        """The sets that are asked for, each once, with their prefixes under the orders by hash."""
         for batch in (p for b in batches for p in _parts(b)):
             sets = shingle_sets(batch.column("__text").to_pylist(), n)
-            yield pa.record_batch([batch.column("sid"), batch.column("cells"), _lists(sets)], names=["sid", "cells", "tokens"])
+            # The upper halves will do to tell which sets have a candidate: equal tokens stay equal.
+            prefixes = [_lists([(_prefix_under(s, factor, percent) >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets], np.int32) for factor in ORDERS]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            columns = [batch.column("sid"), batch.column("cells"), sizes, *prefixes, _lists(sets)]
+            yield pa.record_batch(columns, names=["sid", "cells", "size", *PREFIXES, "tokens"])
 
     return full
 
@@ -256,21 +266,35 @@ def _prefix_under(tokens: np.ndarray, factor: int, percent: int) -> np.ndarray:
     return np.partition(ranks, length - 1)[:length] if length < len(ranks) else ranks
 
 
-def links_among(sets: list[np.ndarray], sides: np.ndarray, parts: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A tree of links for each component among the sets.
+def candidates(size: np.ndarray, sides: np.ndarray, parts: np.ndarray, prefix: Callable[[int, int], np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of a cell may link: those of fitting sizes whose prefixes share enough tokens under every order.
 
     ``sides``: 0 and 1 for the two blocks that are compared, all 2 if a block is compared with itself.
     ``parts``: the components that the sets are already known to be in; pairs within one are not looked at.
+    ``prefix`` gives that of a set under the order of a number.
     """
-    size = np.array([len(s) for s in sets], np.int64)
     wanted = (parts[:, None] != parts[None, :]) & ((sides[:, None] != sides[None, :]) | (sides[:, None] == 2))
     wanted &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
-    for factor in ORDERS:
+    for order in range(len(ORDERS)):
         live = np.flatnonzero(wanted.any(1))
         if not len(live):
-            return []
-        shared = _shared_counts([_prefix_under(sets[i], factor, percent) for i in live])
-        wanted[np.ix_(live, live)] &= shared > 0
+            break
+        lists = [np.sort(prefix(int(i), order)) for i in live]
+        shared, own = _shared_counts(lists), size[live]
+        # Below the smaller of two last ranks both prefixes are whole; at most all the rest is shared besides. Ranks
+        # may be cut short: a set's tokens of one rank are counted once in ``shared``.
+        last = np.array([x[-1] for x in lists])
+        rest = own[:, None] - np.stack([np.searchsorted(x, np.minimum(last, x[-1])) for x in lists])
+        alike = np.array([len(x) - len(np.unique(x)) for x in lists])
+        most = shared + np.minimum(rest, rest.T) + np.minimum.outer(alike, alike)
+        wanted[np.ix_(live, live)] &= (100 + percent) * most >= percent * np.add.outer(own, own)
+    return wanted
+
+
+def links_among(sets: list[np.ndarray], sides: np.ndarray, parts: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A tree of links for each component among the sets; see `candidates`."""
+    size = np.array([len(s) for s in sets], np.int64)
+    wanted = candidates(size, sides, parts, lambda i, order: _prefix_under(sets[i], ORDERS[order], percent), percent)
     live = np.flatnonzero(wanted.any(1))
     if not len(live):
         return []
@@ -318,23 +342,78 @@ def _linker(percent: int):
     return link
 
 
+def _sieve(percent: int):
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows (cell, part, side, sid, size and prefixes) those that have a candidate in their cell."""
+        for table in whole_groups(batches, "cell"):
+            if not table.num_rows:
+                continue
+            table = table.combine_chunks()
+            cell, part, side, size = (table.column(c).to_numpy() for c in ("cell", "part", "side", "size"))
+            lists = [table.column(c).chunk(0) for c in PREFIXES]
+            values, offsets = [x.values.to_numpy() for x in lists], [x.offsets.to_numpy() for x in lists]
+            edges = np.flatnonzero(np.diff(cell)) + 1
+            kept = []
+            for lo, hi in zip(np.append(0, edges), np.append(edges, len(cell))):
+                if hi - lo > 1:
+                    prefix = lambda i, k, lo=lo: values[k][offsets[k][lo + i] : offsets[k][lo + i + 1]].view(np.uint32)
+                    kept.append(lo + np.flatnonzero(candidates(size[lo:hi], side[lo:hi], part[lo:hi], prefix, percent).any(1)))
+            kept = pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int64))
+            yield from table.select(["sid", "cell", "part", "side"]).take(kept).combine_chunks().to_batches()
+
+    return sieve
+
+
 CELLS = "array<struct<cell: bigint, part: bigint, side: int>>"
 
 
-def _cells(members: DataFrame, across: bool) -> DataFrame:
-    """(sid, cells): where each set is compared, from the members (center, sid, part) of groups.
+def _place(*block: str) -> Column:
+    """Where a set is compared: the cell, named by its group and two blocks, the set's part and its side."""
+    return F.struct(F.xxhash64("center", *block).alias("cell"), F.col("part").alias("part"), F.col("side").cast("int").alias("side"))
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """(sid, cells): where each set is first compared, from the members (center, sid, part) of groups.
 
-    A group beyond ``BLOCK`` members is dealt to blocks, and each block is compared with itself and, if
-    ``across``, with every other. A group of one has nothing to compare: its set has no cell there.
+    A group beyond ``BLOCK`` members is dealt to blocks, and each is compared with itself. Four of its members
+    are put in all of its blocks, so that copies in several blocks come to one component. A group of one
+    has nothing to compare: its set has no cell there.
     """
-    sizes = members.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), (F.count("*") > 1).alias("several"))
-    rows = attach(members, sizes, ["center"], "inner").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block")
-    rows = rows.withColumn("other", others)
+    drawn = F.xxhash64("sid")
+    common = F.array(F.min("sid"), F.max("sid"), F.min_by("sid", drawn), F.max_by("sid", drawn)).alias("common")
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    sizes = members.groupBy("center").agg(blocks, (F.count("*") > 1).alias("several"), common)
+    own = F.array(F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    every = F.when(F.array_contains("common", F.col("sid")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)
+    rows = attach(members, sizes, ["center"], "inner").withColumn("block", F.explode(every))
+    place = F.when(F.col("several"), _place("block", "block"))
+    return rows.withColumn("side", F.lit(2)).groupBy("sid").agg(F.collect_list(place).alias("cells"))
+
+
+def _cells_across(members: DataFrame, percent: int) -> DataFrame:
+    """(sid, cells): as `_cells`, but all blocks of a group that may hold links are compared, for members with
+    their ``size``.
+
+    Sets of a block have sizes of one step, each step so wide that linked sets are at most one apart. A part
+    that fills half a block has blocks of its own; two blocks of one part have nothing to find.
+    """
+    step = F.floor(F.log("size") / (math.log(100 / percent) * (1 + 1e-9))) if percent < 100 else F.col("size")
+    rows = members.withColumn("step", step.cast("long"))
+    parts = rows.groupBy("center", "step", "part").agg(F.when(F.count("*") >= BLOCK // 2, F.first("part")).alias("own"))
+    rows = attach(rows, parts, ["center", "step", "part"], "inner")
+    totals = rows.groupBy("center", "step", "own").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = attach(rows, totals, ["center", "step", "own"], "inner")
+    block = F.struct("step", "own", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("nth"))
+    rows = rows.select("center", "sid", "part", block.alias("block"))
+    blocks = stage(rows.select("center", "block").distinct(), "jaccard-blocks")
+    pairs = blocks.join(blocks.select("center", F.col("block").alias("other")), "center").where(
+        (F.abs(F.col("block.step") - F.col("other.step")) <= 1) & ~F.coalesce(F.col("block.own") == F.col("other.own"), F.lit(False))
+    )
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    cell = F.xxhash64("center", F.least("block", "other"), F.greatest("block", "other"))
-    place = F.struct(cell.alias("cell"), F.col("part").alias("part"), side.cast("int").alias("side"))
-    return rows.groupBy("sid").agg(F.collect_list(F.when(F.col("several"), place)).alias("cells"))
+    placed = attach(rows, pairs.groupBy("center", "block").agg(F.collect_list("other").alias("others")), ["center", "block"], "inner")
+    placed = placed.withColumn("other", F.explode("others")).withColumn("side", side)
+    placed = placed.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    return placed.groupBy("sid").agg(F.collect_list(_place("low", "high")).alias("cells"))
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
@@ -348,14 +427,14 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
 
 
-def _components(rows: DataFrame, key: str, n: int, percent: int, keep: bool) -> DataFrame:
-    """(__row, __key, n, component) of staged rows: ``component`` is the smallest set that a row's set reaches.
+def _components(rows: DataFrame, key: str, n: int, percent: int, unique: bool) -> DataFrame:
+    """(__row, __key, n, component) of rows: ``component`` is the smallest set that a row's set reaches.
 
-    The rows are removed as soon as their texts have been read, unless ``keep``.
+    ``__row`` names a row, or, if not ``unique``, its text, of which one row is then read again.
     """
-    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    spark, kind, name = rows.sparkSession, rows.schema[key].dataType.simpleString(), rows.schema["__row"].dataType.simpleString()
     texts = rows.select("__row", F.col(key).alias("__key"), F.col("text").cast("binary").alias("__text"))
-    full = stage(texts.mapInArrow(_sketch(n, percent), f"__row long, __key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
+    full = stage(texts.mapInArrow(_sketch(n, percent), f"__row {name}, __key {kind}, n long, sid long, low array<long>"), "jaccard-sketches")
     prefixes = stage(_prefixes(full.where("n > 0"), percent), "jaccard-prefixes")
     sketches = stage(full.drop("low"), "jaccard-sizes")
     unstage(full)
@@ -366,14 +445,17 @@ def _components(rows: DataFrame, key: str, n: int, percent: int, keep: bool) ->
     # First every set in the group of its smallest center.
     home = meetings.groupBy("sid").agg(F.min("center").alias("center"))
     once = home.unionByName(home.select(F.col("center").alias("sid"), "center")).distinct()
-    cells = _cells(once.withColumn("part", F.col("sid")), False)
+    cells = _cells(once.withColumn("part", F.col("sid")))
     # One row stands for all that have the same set.
     named = some.groupBy("sid").agg(F.min("__row").alias("__row"))
     wanted = stage(attach(cells, named, ["sid"], "inner"), "jaccard-cells")
-    wanted = attach(texts.drop("__key"), wanted, ["__row"], "inner", alike=True).select("sid", "cells", "__text")
-    sets = stage(wanted.mapInArrow(_full(n), f"sid long, cells {CELLS}, tokens array<long>"), "jaccard-sets")
-    if not keep:
-        unstage(rows)
+    texts = sifted(texts.drop("__key"), wanted, "__row")
+    if not unique:  # each task passes on one copy of a text
+        copy = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))
+        texts = texts.withColumn("__copy", copy).where("__copy = 1").drop("__copy")
+    wanted = texts.join(wanted.hint("merge"), "__row").select("sid", "cells", "__text")
+    layout = f"sid long, cells {CELLS}, size long, second array<int>, third array<int>, tokens array<long>"
+    sets = stage(wanted.mapInArrow(_full(n, percent), layout), "jaccard-sets")
     found = stage(_links(sets, percent), "jaccard-links")
     release(spark)
 
@@ -393,7 +475,15 @@ def _components(rows: DataFrame, key: str, n: int, percent: int, keep: bool) ->
     )
     split = split.where("least < most AND NOT (together AND whole)")
     left = attach(placed, split.select("token"), ["token"], "semi").select("center", "sid", "part").distinct()
-    again = attach(sets.select("sid", "tokens"), _cells(stage(left, "jaccard-left"), True), ["sid"], "inner", alike=True)
+    left = attach(stage(left, "jaccard-left"), sets.select("sid", "size"), ["sid"], "inner")
+    # Their prefixes tell which of them have a candidate at all; only those are fetched whole.
+    across = stage(_cells_across(left, percent), "jaccard-across")
+    light = attach(sifted(sets.select("sid", "size", *PREFIXES), across, "sid"), across, ["sid"], "inner", alike=True)
+    light = light.select("sid", "size", *PREFIXES, F.explode("cells").alias("at")).select("at.*", "sid", "size", *PREFIXES)
+    light = light.repartition("cell").sortWithinPartitions("cell")
+    chosen = stage(light.mapInArrow(_sieve(percent), "sid long, cell long, part long, side int"), "jaccard-candidates")
+    chosen = stage(chosen.groupBy("sid").agg(F.collect_list(F.struct("cell", "part", "side")).alias("cells")), "jaccard-chosen")
+    again = attach(sifted(sets.select("sid", "tokens"), chosen, "sid"), chosen, ["sid"], "inner", alike=True)
     more = stage(_links(again, percent), "jaccard-links")
     parts = stage(joined(parts, more), "jaccard-components")
     unstage(sets)
@@ -412,7 +502,8 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "d
     reach null keys have a null component_id. Rows that repeat are documents of their own, with equal
     results. An empty table gives no rows. Columns other than key and text are not looked at.
     """
-    named = _components(_numbered(docs.select(key, "text")), key, n, percent, keep=False)
+    name = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    named = _components(docs.select(key, "text", name.alias("__row")), key, n, percent, unique=False)
     lowest = named.where("n > 0").groupBy("component").agg(F.min("__key").alias("lowest"))
     result = attach(named, lowest, ["component"])
     component = F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("__key"))
@@ -424,7 +515,7 @@ def first_of_groups(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     the first row. Rows whose text is null or empty are in no group and all stay.
     """
     rows = _numbered(docs)
-    placed = _components(rows, key, n, percent, keep=True).where("n > 0")
+    placed = _components(rows, key, n, percent, unique=True).where("n > 0")
     order = F.struct(F.col("__key").isNull().alias("none"), "__key", "__row")
     firsts = placed.groupBy("component").agg(F.min(order)["__row"].alias("__first"))
     dropped = attach(placed, firsts, ["component"], "inner").where("__row <> __first").select("__row")

@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import decontam, jaccard, langid, mixing, pii, quality, radix_dedup, sharding, suffix_dedup, warc
+from strata.llm.common import sifted
 from strata.llm.components import components
-from strata.session import scratch_dir
+from strata.session import scratch_dir, stage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, score double, block int"
 
@@ -95,18 +97,54 @@ def test_each_set_is_fetched_once(make, monkeypatch):
     base = LONG.split()[:200]
     texts = [" ".join(base[:k] + [f"new{k}"] + base[k + 1 :]) for k in range(0, 180, 20)]
     texts, ids = texts * 4, [None] * 18 + [7] * 18
-    joined, attach = [], jaccard.attach
+    fetched, stage = [], jaccard.stage
 
-    def counted(*args, **kwargs):
-        out = attach(*args, **kwargs)
-        if kwargs.get("alike"):
-            joined.append(out.count())
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "jaccard-sets":
+            fetched.append((out.count(), out.select("sid").distinct().count()))
         return out
 
-    monkeypatch.setattr(jaccard, "attach", counted)
+    monkeypatch.setattr(jaccard, "stage", counted)
     got = jaccard.similar_groups(make(texts, ids), 3, 90).collect()
     assert len(got) == 36 and {r.component_id for r in got} == {7}
-    assert joined[0] == 9 and max(joined) == 9
+    assert len(jaccard.first_of_groups(make(texts, ids), 3, 90).collect()) == 1
+    assert fetched == [(9, 9), (9, 9)]
+
+
+def test_sifted_rows(spark):
+    rows = spark.range(5000).select("id", (F.col("id") % 7).alias("extra"))
+    for wanted in (rows.where("id % 11 = 0"), rows.where("id < 0"), rows):
+        wanted = stage(wanted.select("id"), "wanted")
+        left = sifted(rows, wanted, "id")
+        assert left.columns == rows.columns
+        found = {r.id for r in left.collect()}
+        asked = {r.id for r in wanted.collect()}
+        assert asked <= found and len(found) <= len(asked) + 700
+
+
+def test_candidates_hold_every_linked_pair():
+    """Under prefixes in full and cut to few bits, for random and near sets of all sizes."""
+    rng = np.random.default_rng(8)
+    for percent in (50, 80, 90, 100):
+        sets = []
+        for size in (1, 2, 3, 10, 40, 41, 45, 300):
+            base = rng.integers(-(2**63), 2**63 - 1, 2 * size)
+            for _ in range(6):
+                own = rng.choice(base, size, replace=False)
+                own[: rng.integers(0, max(1, size // 6) + 1)] = rng.integers(-(2**63), 2**63 - 1)
+                sets.append(np.unique(own))
+        size, m = np.array([len(s) for s in sets]), len(sets)
+        for shift in (0, 32, 58):
+            def prefix(i, order):
+                return jaccard._prefix_under(sets[i], jaccard.ORDERS[order], percent) >> np.uint64(shift)
+
+            wanted = jaccard.candidates(size, np.full(m, 2), np.arange(m), prefix, percent)
+            for i in range(m):
+                for j in range(m):
+                    shared = len(np.intersect1d(sets[i], sets[j]))
+                    if i != j and 100 * shared >= percent * (size[i] + size[j] - shared):
+                        assert wanted[i, j], (percent, shift, size[i], size[j])
 
 
 def test_components_of_a_path_and_a_hub(spark):
