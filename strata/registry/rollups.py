@@ -81,7 +81,7 @@ def sketch_medians(spark, sf_dir):
 
 @query(
     "sketch_rank_error",
-    f"""WITH {READINGS}, q AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS q)
+    f"""WITH {READINGS}, q AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]::double[]) AS q)
     SELECT q, (SELECT count(temperature_c) FROM readings) AS n, true AS close FROM q""",
 )
 def sketch_rank_error(spark, sf_dir):
