@@ -1,11 +1,13 @@
 """Personal data by weak supervision.
 
-Candidates are the matches of strict patterns for four kinds of personal data, and of looser ones. Labelers
-vote for or against each candidate, or abstain: patterns, lists (gazetteers) and the words around it.
-Expectation-maximisation estimates how reliable each labeler is, from the counts of every pattern of
-votes over all documents; the counts are few, whatever the number of documents. The posteriors then
-train a logistic classifier on the shape of the spans, which decides on the looser candidates. Matches
-of the strict patterns always stay.
+Candidates are the matches of strict patterns for four kinds of personal data, and of looser ones for these,
+for secrets such as keys and tokens, and for bank accounts. Labelers vote for or against each candidate, or
+abstain: patterns, lists (gazetteers), the words around it, and its structure. Expectation-maximisation
+estimates how reliable each labeler is, from the counts of every pattern of votes over all documents;
+the counts are few, whatever the number of documents. A vote for never speaks against, however rare its
+kind is. The posteriors then train a logistic classifier on the shape of the spans, which decides on the
+looser candidates; none is taken that no labeler votes for, or that its structure (such as a checksum)
+rules out. Matches of the strict patterns always stay.
 
 Texts are read once. Each document keeps its candidates in one row, so nothing is joined.
 """
@@ -24,7 +26,10 @@ from pyspark.sql import functions as F
 
 from strata.session import stage
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret", "iban")
+
+#: Kinds that have a strict pattern.
+STRICT = KINDS[:4]
 
 #: Posterior and classifier probability that a looser candidate needs.
 ACCEPT = 0.9
@@ -45,9 +50,16 @@ SPOKEN = re.compile(
 SPOKEN_HINT = re.compile(r"[\[(]dot[\])]|\x20dot\x20")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-]*[0-9])")
 
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+KNOWN_KEY = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,}")
+HEX = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
+NAMED = re.compile(r"""["'\x60]?\s*(?:[:=]|=>|is|ist|est|es)\s*["'\x60]?$""", re.I)
+
 # Gazetteers.
 TOP_LEVEL = frozenset("com org net edu gov int info io biz de fr es it nl uk eu us ca ch at be pl se no fi dk pt ie jp cn in br au".split())
 CALLING = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 351 352 353 358 420 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91".split())
+COUNTRIES = frozenset("AD AT BE BG CH CY CZ DE DK EE ES FI FR GB GI GR HR HU IE IS IT LI LT LU LV MC MT NL NO PL PT RO SE SI SK SM TR".split())
 ISSUERS = ("34", "35", "36", "37", "38", "4", "51", "52", "53", "54", "55", "60", "62", "65", "2")
 
 CONTEXT = 32
@@ -55,6 +67,8 @@ FOR = {
     "email": re.compile(r"mail|contact|write|reach|kontakt|schreib|correo|courriel|contacto", re.I),
     "ip": re.compile(r"\bip\b|address|host|server|adresse|login|client|dirección", re.I),
     "card": re.compile(r"card|visa|master|credit|debit|amex|karte|carte|tarjeta", re.I),
+    "secret": re.compile(r"token|secret|api[_-]?key|access[_-]?key|passw|pwd|bearer|credential|private|auth", re.I),
+    "iban": re.compile(r"iban|account|konto|compte|cuenta|bank|bic|swift", re.I),
     "phone": re.compile(r"tel|phone|call|fax|mobile|cell|anruf|appel|llam|whatsapp", re.I),
 }
 AGAINST = re.compile(r"version|release|order|invoice|isbn|issn|serial|sku|ticket|chapter|section|figure|ref\b|no\.", re.I)
@@ -116,6 +130,12 @@ def matches(text: str) -> Iterator[tuple[int, int, int, bool]]:
                 yield 3, m.start(), m.end(), 8 <= sum(c.isdigit() for c in m.group()) <= 15
 
 
+def mod97(account: str) -> bool:
+    """Whether the check digits of a bank account are right."""
+    turned = account[4:] + account[:4]
+    return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
+
+
 def _looser(text: str) -> Iterator[tuple[int, int, int]]:
     if SPOKEN_HINT.search(text):
         for m in SPOKEN.finditer(text):
@@ -123,6 +143,11 @@ def _looser(text: str) -> Iterator[tuple[int, int, int]]:
     if DOTTED.search(text):
         for m in LOCAL_PHONE.finditer(text):
             yield 3, m.start(), m.end()
+        for m in SECRET.finditer(text):
+            if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()):
+                yield 4, m.start(), m.end()
+        for m in IBAN.finditer(text):
+            yield 5, m.start(), m.end()
 
 
 def _digits(span: str) -> str:
@@ -142,8 +167,17 @@ def _votes(text: str, kind: int, start: int, stop: int, strict: bool) -> list[in
     elif kind == 2:
         listed = 1 if digits.startswith(ISSUERS) else -1
         structure = 1 if 13 <= len(digits) <= 19 and luhn(digits) else -1
+    elif kind == 4:
+        pattern = 1 if KNOWN_KEY.match(span) or HEX.fullmatch(span.rstrip("=")) else 0
+        listed = 1 if NAMED.search(text[max(0, start - CONTEXT) : start]) else 0
+        mixed = sum(a.isdigit() != b.isdigit() for a, b in zip(span, span[1:]))
+        structure = 1 if mixed >= 4 else (-1 if mixed < 2 or "/" in span and span.count("/") > 2 else 0)
+    elif kind == 5:
+        pattern, listed = 0, 1 if span[:2] in COUNTRIES else -1
+        structure = 1 if mod97(span.replace(" ", "")) else -1
     else:
-        listed = (1 if digits.startswith(CALLING) else -1) if span[0] == "+" else 0
+        led = re.search(r"\+([0-9]{1,3})[\x20.-]?$", text[max(0, start - 5) : start])
+        listed = (1 if digits.startswith(CALLING) else -1) if span[0] == "+" else int(bool(led) and led[1] in CALLING)
         structure = 1 if (8 if span[0] == "+" else 10) <= len(digits) <= 15 else -1
     left = text[max(0, start - CONTEXT) : start]
     around = left + " " + text[stop : stop + CONTEXT]
@@ -163,8 +197,9 @@ def _shape(span: str) -> int:
     return code
 
 
-def _features(shape: int) -> list[float]:
-    out: list[float] = []
+def _features(shape: int, votes: int) -> list[float]:
+    """What the classifier sees of a span: its shape, and what its structure says."""
+    out: list[float] = [float(_vote_row(votes)[LABELERS.index("structure")] == v) for v in range(3)]
     for size in (2, 2, 5, 3, 4, 6):
         out += [float(shape % size == i) for i in range(size)]
         shape //= size
@@ -202,21 +237,24 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Aggregate:
-    """What the labelers' votes and the spans' shapes say: probabilities by (kind, votes) and (kind, shape)."""
+    """What the labelers' votes and the spans' shapes say: probabilities by (kind, votes) and (kind, votes, shape)."""
 
     posterior: dict[tuple[int, int], float]
-    classifier: dict[tuple[int, int], float]
+    classifier: dict[tuple[int, int, int], float]
 
     def accepted(self) -> list[tuple[int, int, int]]:
         """(kind, votes, shape) of the looser candidates that count as personal data."""
         return [
-            (k, v, s)
-            for (k, v), p in self.posterior.items()
-            for (k2, s), q in self.classifier.items()
-            if k == k2 and min(p, q) >= ACCEPT
+            (k, v, s) for (k, v, s), q in self.classifier.items() if min(self.posterior[k, v], q) >= ACCEPT and supported(v)
         ]
 
 
+def supported(code: int) -> bool:
+    """Whether some labeler votes for a candidate and its structure does not rule it out."""
+    row = _vote_row(code)
+    return max(row) == 2 and row[LABELERS.index("structure")] > 0
+
+
 def _vote_row(code: int) -> list[int]:
     out = []
     for _ in LABELERS:
@@ -225,19 +263,29 @@ def _vote_row(code: int) -> list[int]:
     return out[::-1]
 
 
+#: Candidates that each labeler is taken to have judged rightly beforehand, per label.
+RIGHT = 4.0
+
+
 def estimate(votes: np.ndarray, base: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Posterior of each pattern of votes, by expectation-maximisation; strict matches are known to be true.
 
-    ``votes`` holds 0 (against), 1 (abstains) or 2 (for) of each labeler.
+    ``votes`` holds 0 (against), 1 (abstains) or 2 (for) of each labeler. Labelers are no worse than chance: a
+    Beta prior has each right on ``RIGHT`` candidates more than wrong, and no vote counts for its opposite.
     """
     posterior = np.where(base, 1.0, 0.5 + 0.4 * np.tanh((votes - 1).sum(1)))
     choices = np.stack([votes == v for v in range(3)], 2).astype(float)
+    prior_yes, prior_no = np.array([1.0, 1.0, 1.0 + RIGHT]), np.array([1.0 + RIGHT, 1.0, 1.0])
     for _ in range(rounds):
+        # How many candidates are true is judged by the looser ones alone; strict matches say nothing of them.
+        loose = counts * ~base
         yes, no = counts * posterior, counts * (1 - posterior)
-        prior = (yes.sum() + 1) / (counts.sum() + 2)
-        given_yes = (np.einsum("i,ijk->jk", yes, choices) + 1) / (yes.sum() + 3)
-        given_no = (np.einsum("i,ijk->jk", no, choices) + 1) / (no.sum() + 3)
-        odds = np.log(prior / (1 - prior)) + np.einsum("ijk,jk->i", choices, np.log(given_yes / given_no))
+        prior = ((loose * posterior).sum() + 1) / (loose.sum() + 2)
+        given_yes = (np.einsum("i,ijk->jk", yes, choices) + prior_yes) / (yes.sum() + prior_yes.sum())
+        given_no = (np.einsum("i,ijk->jk", no, choices) + prior_no) / (no.sum() + prior_no.sum())
+        weight = np.log(given_yes / given_no)
+        weight[:, 0], weight[:, 2] = np.minimum(weight[:, 0], 0), np.maximum(weight[:, 2], 0)
+        odds = np.log(prior / (1 - prior)) + np.einsum("ijk,jk->i", choices, weight)
         posterior = np.where(base, 1.0, 1 / (1 + np.exp(-np.clip(odds, -500, 500))))
     return posterior
 
@@ -267,11 +315,11 @@ def aggregate(found: DataFrame) -> Aggregate:
         base = np.array([r[0] for r in own])
         counts = np.array([r[3] for r in own], float)
         p = estimate(np.array([_vote_row(r[1]) for r in own]), base, counts)
-        w = _logistic(np.array([_features(r[2]) for r in own]), p, counts)
+        w = _logistic(np.array([_features(r[2], r[1]) for r in own]), p, counts)
         for (is_base, votes, shape, _), chance in zip(own, p):
             if not is_base:
                 posterior[kind, votes] = float(chance)
-                classifier[kind, shape] = float(1 / (1 + np.exp(-np.array(_features(shape)) @ w)))
+                classifier[kind, votes, shape] = float(1 / (1 + np.exp(-np.array(_features(shape, votes)) @ w)))
     return Aggregate(posterior, classifier)
 
 
@@ -314,12 +362,13 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     def number(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
-    counts = [number(kind).alias(f"n_{name}") for kind, name in enumerate(KINDS)]
+    counts = [number(kind).alias(f"n_{name}") for kind, name in enumerate(STRICT)]
     return found.select(
         key,
         *counts,
         F.sha2(_digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _digest(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
 
