@@ -91,7 +91,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_suffix_repeats")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    # A cut may fall within a character; what is left of it shows as a replacement character.
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query("op7_line_field_quality")

@@ -26,20 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import PrefixHash, attach, mixed, whole_groups
-from strata.session import release, stage
+from strata.llm.common import PrefixHash, attach, batches_of, mixed, whole_groups
+from strata.session import release, stage, unstage
 
 LENGTH = 400
 GRAM = 100
 
 #: Contexts that are sorted together, more are split by offset; and rows of their table of pairs held at once.
-LARGEST_GROUP, ROWS = 8192, 256
+LARGEST_GROUP, ROWS = 8192, 64
 
 #: Contexts of small groups that are sorted side by side.
 STRETCH = 2000
 
 #: Bytes that are searched for anchors at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 PLACE = np.uint64(BLOCK * 2 - 1)
 
 
@@ -351,6 +351,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     contexts = stage(contexts.withColumn("ck", F.unhex(F.substring(F.sha2(named, 256), 1, 32))), "suffix-contexts")
     different = contexts.groupBy("ck", "h", "left", "context").agg(F.count("*").alias("n"))
     different = stage(different, "suffix-different")
+    unstage(found)
     release(texts.sparkSession)
     ranges = _ranges(different.drop("n"))
     own = F.lit(LENGTH) - (F.octet_length("context") - F.col("left"))
@@ -405,7 +406,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", with_text: bool = True)
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("key"), text.alias("text"))
     texts = texts.withColumn("tk", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
-    spans = stage(repeated_spans(texts), "suffix-spans")
+    with batches_of(docs.sparkSession, 1000):
+        spans = stage(repeated_spans(texts), "suffix-spans")
     release(docs.sparkSession)
     joined = attach(texts, spans, ["tk"]).select(F.col("key").alias("__key"), "text", "spans")
     columns = f"__key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
