@@ -7,9 +7,10 @@ long as the longest item, and each passage is a query: all items that score abov
 found. The blocks' bounds are added up for all passages of a text at once and rule out nearly all blocks;
 within the others WAND moves from pivot to pivot, the first item at which the terms' bounds pass the
 threshold. Hits are verified: the five-word shingles of the item's question and answer must be found in
-the passage.
+the passage; an item of fewer words is found as one run of its own length.
 
-The index is broadcast in parts of bounded size, one pass over the documents for each part.
+Words are counted in Spark. The items are dealt to parts by hash, as many as their bytes ask for; the index of one
+part at a time is built and broadcast, with one pass over the documents for each part.
 """
 
 from __future__ import annotations
@@ -19,13 +20,18 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import attach
+from strata.session import stage, unstage
+
 K1, B = 1.2, 0.75
 
 #: Share of an item's own score that a passage must reach to be verified.
@@ -55,14 +61,17 @@ def parts_of(text: str) -> tuple[str, str]:
     return (text[: ends[-1]], text[ends[-1] :]) if ends else (text, "")
 
 
-def shingles(tokens: list[str]) -> set[tuple[str, ...]]:
+def shingles(tokens: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
     """Distinct runs of words; a shorter text is one run, an empty one has none."""
-    return {tuple(tokens[i : i + SHINGLE]) for i in range(max(1, len(tokens) - SHINGLE + 1))} if tokens else set()
+    return {tuple(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))} if tokens else set()
 
 
 @dataclass
 class Item:
+    """Runs of ``size`` words of the question, and the others."""
+
     item_id: int
+    size: int
     question: set
     answer: set
 
@@ -87,9 +96,10 @@ class Index:
                 postings[term].append((len(self.items), weight / full))
             question, answer = (words(x) for x in parts_of(text))
             # The runs across the border belong to the answer.
-            runs = shingles(tokens)
-            asked = shingles(question) & runs
-            self.items.append(Item(item_id, asked, runs - asked))
+            size = min(SHINGLE, len(tokens))
+            runs = shingles(tokens, size)
+            asked = shingles(question, size) & runs
+            self.items.append(Item(item_id, size, asked, runs - asked))
             longest = max(longest, len(tokens))
         self.passage = max(PASSAGE, 2 * longest)
         self.ids = [np.array([p for p, _ in v]) for v in postings.values()]
@@ -167,36 +177,51 @@ class Index:
                 stop = start + 2 * size
                 lo, hi = np.searchsorted(places, (start, stop))
                 hits = self.search(np.unique(codes[lo:hi]), THRESHOLD, int(block) * BLOCK, int(block + 1) * BLOCK)
-                runs = shingles(tokens[start:stop]) if hits else set()
+                runs: dict[int, set] = {}
                 for number in hits:
                     item = self.items[number]
-                    asked, answered = len(item.question & runs), len(item.answer & runs)
+                    if item.size not in runs:
+                        runs[item.size] = shingles(tokens[start:stop], item.size)
+                    asked, answered = len(item.question & runs[item.size]), len(item.answer & runs[item.size])
                     if asked + answered >= OVERLAP * (len(item.question) + len(item.answer)):
                         shares = (asked / max(1, len(item.question)), answered / len(item.answer) if item.answer else 1.0)
                         leaked[item.item_id] = max(leaked.get(item.item_id, shares), shares)
         return leaked
 
 
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, text, words, terms) of items: the number of words and the distinct ones."""
+    for batch in batches:
+        tokens = [words(t) for t in batch.column(1).to_pylist()]
+        columns = [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int64())]
+        terms = pa.array([sorted(set(t)) for t in tokens], pa.list_(pa.string()))
+        yield pa.record_batch([*columns, terms], names=["item_id", "text", "words", "terms"])
+
+
 def _indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """The index, in parts of at most ``PART_BYTES`` bytes of items."""
-    clean = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").distinct()
-    counts: Counter[str] = Counter()
-    n, total = 0, 0
-    for row in clean.toLocalIterator():
-        tokens = words(row.text)
-        counts.update(set(tokens))
-        n, total = n + bool(tokens), total + len(tokens)
-    mean, part, size = total / max(1, n), [], 0
-    for row in clean.orderBy("item_id", "text").toLocalIterator():
-        if not words(row.text):
-            continue
-        part.append((row.item_id, row.text))
-        size += len(row.text.encode())
-        if size >= PART_BYTES:
-            yield Index(part, n, mean, counts)
-            part, size = [], 0
-    if part:
-        yield Index(part, n, mean, counts)
+    """The index, in parts of about ``PART_BYTES`` bytes of items, built one by one.
+
+    Only a part's items and the frequencies of its words come to the driver.
+    """
+    clean = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long"), "text").distinct()
+    told = clean.mapInArrow(_told, "item_id long, text string, words long, terms array<string>").where("words > 0")
+    items = stage(told, "benchmark-items")
+    sums = items.agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if not sums.n:
+        return
+    frequency = items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    parts = -(-sums.bytes // PART_BYTES)
+    frequency = stage(frequency, "benchmark-terms") if parts > 1 else frequency
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    for part in range(parts):
+        own = dealt.where(F.col("part") == part)
+        rows = own.orderBy("item_id", "text").select("item_id", "text").toArrow()
+        known = frequency if parts == 1 else frequency.join(own.select(F.explode("terms").alias("term")).distinct(), "term")
+        table = known.toArrow()
+        counts = dict(zip(table["term"].to_pylist(), table["df"].to_pylist()))
+        if rows.num_rows:
+            yield Index(list(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist())), sums.n, sums.words / sums.n, counts)
+    unstage(items, *([frequency] if parts > 1 else []))
 
 
 def _finder(shared):
@@ -223,15 +248,31 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     that repeats is one. Rows that repeat are told alike; an empty table of either kind gives no leak.
     All columns of ``docs`` but an earlier ``leaks`` are kept.
     """
-    spark = docs.sparkSession
-    rows, parts = docs.drop("leaks"), []
-    for index in _indexes(benchmark):
-        find = _finder(spark.sparkContext.broadcast(index))
-        parts.append(f"__leaks{len(parts)}")
-        rows = rows.withColumn(parts[-1], find(F.col(text)))
-    zipped = [F.arrays_zip(*[F.col(f"{p}.{c}").alias(c) for c in ("items", "question", "answer")]) for p in parts]
-    none = F.expr("cast(array() as array<struct<items: bigint, question: double, answer: double>>)")
-    return rows.withColumn("leaks", F.concat(*zipped) if zipped else none).drop(*parts)
+    spark, rows = docs.sparkSession, docs.drop("leaks")
+    indexes = _indexes(benchmark)
+    first, second = next(indexes, None), next(indexes, None)
+    if first is None:
+        return rows.withColumn("leaks", F.expr(f"cast(array() as {LEAKS})"))
+    if second is None:
+        return rows.withColumn("leaks", _leaks(_finder(spark.sparkContext.broadcast(first))(F.col(text))))
+    # Several parts: the leaks of each are written before the next part is sent out.
+    rows = stage(rows.withColumn("__row", F.monotonically_increasing_id()), "decontam-rows")
+    found = []
+    for index in chain((first, second), indexes):
+        shared = spark.sparkContext.broadcast(index)
+        leaks = rows.select("__row", _leaks(_finder(shared)(F.col(text))).alias("leaks")).where(F.size("leaks") > 0)
+        found.append(stage(leaks, "decontam-leaks"))
+        shared.unpersist()
+    together = reduce(DataFrame.unionByName, found).groupBy("__row").agg(F.sort_array(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    whole = attach(rows, together, ["__row"]).withColumn("leaks", F.coalesce("leaks", F.expr(f"cast(array() as {LEAKS})")))
+    return whole.drop("__row")
+
+
+LEAKS = "array<struct<items: bigint, question: double, answer: double>>"
+
+
+def _leaks(found: Column) -> Column:
+    return F.arrays_zip(*[found.getField(c).alias(c) for c in ("items", "question", "answer")])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -127,12 +127,13 @@ class Model:
 
 def fit(rows: DataFrame) -> Model:
     """The model of all rows (text, lang) with a lang; rows of null text count for the priors alone."""
-    counted = rows.where("lang IS NOT NULL").select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long")
-    totals = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    known = totals.where("bucket = -1").count()
+    named = rows.where("lang IS NOT NULL")
+    # Told before counting: a task holds the counts of every language it meets.
+    known = named.select("lang").distinct().count()
     if known * BUCKETS > LARGEST_MODEL:
         raise ValueError(f"{known} languages make a matrix of more than {LARGEST_MODEL} cells")
-    table = totals.toArrow()
+    counted = named.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long")
+    table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table["lang"].to_pylist()))
     column = {lang: i for i, lang in enumerate(langs)}
     counts = np.zeros((BUCKETS + 1, len(langs)))
