@@ -84,10 +84,11 @@ def _plans(sized: DataFrame, targets: DataFrame, epochs: int) -> DataFrame:
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
-    """Adds size, draw and slice."""
+    """Adds size, draw, slice, and a tie that tells texts of one doc_id and size apart."""
     seeded = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     slice_of = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") / F.lit(2**32 // SLICES)).cast("int")
-    return docs.withColumn("size", word_count()).withColumn("draw", seeded).withColumn("slice", slice_of)
+    sized = docs.withColumn("size", word_count()).withColumn("tie", F.xxhash64("text"))
+    return sized.withColumn("draw", seeded).withColumn("slice", slice_of)
 
 
 def _plan(sized: DataFrame, weights: DataFrame | None, epochs: int, share: float) -> DataFrame:
@@ -103,7 +104,7 @@ def _extra(sized: DataFrame, plans: DataFrame) -> DataFrame:
     at_end = F.coalesce(F.col("slice") == F.col("end_slice"), F.lit(False))
     none = F.lit(0).cast("long")
     whole = F.when(F.coalesce(F.col("slice") < F.col("end_slice"), F.lit(False)), F.col("size")).otherwise(none)
-    order = Window.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source").orderBy("draw", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("size").over(order) - F.col("size")
     ending = rows.where(at_end).withColumn("extra", F.greatest(none, F.least(F.col("size"), F.col("end_part") - before)))
     return rows.where(~at_end).withColumn("extra", whole).unionByName(ending)
@@ -128,7 +129,10 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: every document as often as `mix` takes it, with all its columns and its whole text.
 
-    The document at the end of a source's fractional repetition stays if at least half of it is taken.
+    The document at the end of a source's fractional repetition stays if at least half of it is taken. Null
+    and empty texts are taken as often as their source is repeated in whole. Rows that repeat are documents
+    of their own, in a fixed order among rows of one doc_id; null sources form one source, and rows without
+    doc_id share a place in the order. An empty table gives no rows.
     """
     held = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "source", "text")
     sized = stage(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sized")

@@ -91,6 +91,11 @@ def descend(rows: DataFrame, root: Node, key: Column, out: str) -> DataFrame:
 
 
 def with_shard(docs: DataFrame, root: Node, out: str = "shard", key: str = "doc_id") -> DataFrame:
+    """Adds ``out``, the shard of each row, which its key and the tree alone decide.
+
+    A null key counts as an empty one; rows of equal keys go together, whatever their texts. All columns
+    are kept, an earlier ``out`` is replaced, and an empty table gives no rows.
+    """
     return descend(docs, root, F.coalesce(F.col(key).cast("string"), F.lit("")), out)
 
 
