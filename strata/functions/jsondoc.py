@@ -7,6 +7,7 @@ Nesting beyond a thousand levels is not read.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -164,9 +165,42 @@ def extract_typed(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFram
 
 
 def extract_json(df: DataFrame, json_col: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    """Add ``{alias: (json path, type)}`` from a JSON text column."""
-    typed = {a: F.try_variant_get(F.col("_doc"), path, type_) for a, (path, type_) in fields.items()}
-    return df.withColumn("_doc", parse(json_col)).withColumns(typed).drop("_doc")
+    """Add ``{alias: (json path, type)}`` from a JSON text column; what is absent or does not fit gives null.
+
+    Documents that a variant cannot hold, as they repeat a key or are too large, are read along the path
+    instead: of a repeated key the last value counts.
+    """
+    text = F.col(json_col)
+    whole = document(text).isNotNull()
+
+    def typed(path: str, type_: str) -> Column:
+        held = F.try_variant_get(F.col("_doc"), path, type_)
+        return F.when(F.col("_doc").isNull() & F.col("_whole"), along_path(text, path).try_cast(type_)).otherwise(held)
+
+    parsed = df.withColumns({"_doc": parse(json_col), "_whole": whole})
+    return parsed.withColumns({alias: typed(path, type_) for alias, (path, type_) in fields.items()}).drop("_doc", "_whole")
+
+
+PATH_STEP = re.compile(r"\.([^.\[\]]+)|\['([^']+)'\]|\[(\d+)\]")
+
+
+def along_path(text: Column, path: str) -> Column:
+    """The value at a path of a JSON text, as text, of any size and with repeated keys.
+
+    Of a repeated key the last value counts; on a path through a list the first one does.
+    """
+    steps = PATH_STEP.findall(path)
+    if "".join(m.group() for m in PATH_STEP.finditer(path)) != path.removeprefix("$"):
+        raise ValueError(f"not a path of names and places: {path}")
+    if any(place for _, _, place in steps) or not steps:
+        return F.get_json_object(text, path)
+    names, type_ = [dotted or quoted for dotted, quoted, _ in steps], "string"
+    for name in reversed(names):
+        type_ = f"struct<`{name.replace('`', '``')}`: {type_}>"
+    value = F.from_json(text, type_, {"mode": "PERMISSIVE"})
+    for name in names:
+        value = value.getField(name)
+    return value
 
 
 def wrap_envelope(

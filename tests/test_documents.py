@@ -133,3 +133,21 @@ def test_extract(spark):
     nested = spark.sql("SELECT struct(struct('2.5' AS x, 'no' AS y) AS s) AS d")
     row = extract_typed(nested, {"x": ("d.s.x", "double"), "y": ("d.s.y", "double")}).head()
     assert (row.x, row.y) == (2.5, None)
+
+
+def test_fields_of_documents_that_a_variant_cannot_hold(spark):
+    large = '{"a": {"b": 7, "pad": "' + "x" * (17 << 20) + '"}, "l": [1, {"z": "q"}]}'
+    docs = [
+        '{"a": {"b": 1}, "a": {"b": 2.5}, "l": [4, {"z": "w"}]}',
+        '{"a": {"b": "x", "b": "3"}}',
+        '{"a": 5, "a": null, "l": [8], "l": [9]}',
+        '{"a": {"b": 1}} trailing',
+        large,
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    fields = {"b": ("$.a.b", "double"), "z": ("$.l[1].z", "string"), "q": ("$['a']['b']", "int"), "t": ("$.l[0]", "int")}
+    got = [tuple(r) for r in extract_json(df, "doc", fields).drop("doc").orderBy("id").collect()]
+    assert got == [(0, 2.5, "w", None, 4), (1, 3.0, None, 3, None), (2, None, None, None, 8), (3, None, None, None, None), (4, 7.0, "q", 7, 1), (5, None, None, None, None)]
+    with pytest.raises(ValueError, match="not a path"):
+        extract_json(df, "doc", {"b": ("$.a..b", "int")})
