@@ -7,11 +7,13 @@ bounded sample of labelled documents, whose lines take the document's label. A t
 mean probability that its lines are good, by the forward-backward algorithm, weighted by their lengths.
 
 Features of a batch of texts are sums over its bytes; the recursions advance all its texts by one line
-at a time.
+at a time. A text of very many lines is read in segments and its recursions advance in blocks, so memory is
+some forty bytes a line.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +28,9 @@ SAMPLE, SAMPLE_BYTES = 1500, 20_000
 
 ROUNDS, RATE, PENALTY = 150, 0.2, 1e-4
 
-#: Bytes that are turned into features at once.
-BLOCK = 1 << 20
+#: Bytes that are turned into features at once; a longer text, or one of more than MANY lines, is read in
+#: segments, of whose lines a few numbers each are kept.
+BLOCK, MANY, SEGMENT = 1 << 20, 1 << 13, 1 << 15
 
 # Kinds of bytes.
 OTHER, UPPER, LOWER, DIGIT, BLANK, STOP, PIPE, MARK, SHOUT, HIGH, TAIL = range(11)
@@ -102,15 +105,22 @@ def _words(joined: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, np.add.reduceat(hashed, starts) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def lines_of(texts: list[bytes]) -> Lines:
-    """Features of all lines; an empty text is one empty line."""
-    joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+@dataclass
+class Own:
+    """What lines tell by themselves: features but the last, which says that a line is repeated in its text;
+    a hash of the words, lengths in characters, and whether a line is empty."""
+
+    features: np.ndarray
+    token: np.ndarray
+    lengths: np.ndarray
+    empty: np.ndarray
+
+
+def own_of(joined: np.ndarray) -> Own:
+    """The lines of some bytes that end with a line break."""
     ends = np.flatnonzero(joined == 10)
     n = len(ends)
     begins = np.concatenate(([0], ends[:-1] + 1))
-    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    lines_upto = np.searchsorted(ends, text_ends, side="right")
-    starts = np.concatenate(([0], lines_upto[:-1]))
     kinds = KINDS[joined]
     size = ends - begins
     kinds_of_lines = np.repeat(np.arange(n, dtype=np.int32) * 11, size + 1) + kinds
@@ -135,14 +145,33 @@ def lines_of(texts: list[bytes]) -> Lines:
     some = np.flatnonzero(words)
     if len(some):
         token[some] = np.add.reduceat(placed, (np.cumsum(words) - words)[some])
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, n)))
+    parts.append(np.stack([empty, (first == UPPER) & ~empty, (last == STOP) & ~empty, (last == SHOUT) & ~empty, np.zeros(n, bool)], 1))
+    return Own(np.concatenate(parts, 1).astype(np.float32), token, lengths, empty)
+
+
+def _repeated(token: np.ndarray, owner: np.ndarray, empty: np.ndarray) -> np.ndarray:
+    """Which lines that are not empty have the words of another line of their text."""
+    some = np.flatnonzero(~empty)
+    token, owner = token[some], owner[some]
     order = np.lexsort((token, owner))
     same = (owner[order][1:] == owner[order][:-1]) & (token[order][1:] == token[order][:-1])
-    repeated = np.zeros(n, bool)
-    repeated[order[1:]] |= same
-    repeated[order[:-1]] |= same
-    parts.append(np.stack([empty, (first == UPPER) & ~empty, (last == STOP) & ~empty, (last == SHOUT) & ~empty, repeated & ~empty], 1))
-    own = np.concatenate(parts, 1).astype(np.float32)
+    out = np.zeros(len(empty), bool)
+    out[some[order[1:][same]]] = True
+    out[some[order[:-1][same]]] = True
+    return out
+
+
+def lines_of(texts: list[bytes]) -> Lines:
+    """Features of all lines; an empty text is one empty line."""
+    joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    found = own_of(joined)
+    own, n = found.features, len(found.token)
+    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    lines_upto = np.searchsorted(np.flatnonzero(joined == 10), text_ends, side="right")
+    starts = np.concatenate(([0], lines_upto[:-1]))
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, n)))
+    # Empty lines have no words, so that a line of marks alone is repeated by another such line only.
+    own[:, -1] = _repeated(found.token, owner, found.empty)
     ahead, behind = np.zeros_like(own), np.zeros_like(own)
     ahead[:-1], behind[1:] = own[1:], own[:-1]
     is_first = np.zeros(n, bool)
@@ -151,7 +180,7 @@ def lines_of(texts: list[bytes]) -> Lines:
     ahead[is_last] = 0
     behind[is_first] = 0
     edges = np.stack([np.ones(n), is_first, is_last], 1).astype(np.float32)
-    return Lines(np.concatenate((own, ahead, behind, edges), 1), lengths.astype(float), starts)
+    return Lines(np.concatenate((own, ahead, behind, edges), 1), found.lengths.astype(float), starts)
 
 
 @dataclass
@@ -198,6 +227,105 @@ def _marginals(scores: np.ndarray, starts: np.ndarray, pairs: np.ndarray, with_p
     return good, joint.sum(0)
 
 
+def _chain_marginals(scores: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Probability of good for each line of one long text, as `_marginals` gives it.
+
+    The text is cut to as many blocks as each has lines. A block's steps multiply to one step, over which
+    messages go from block to block; then all blocks advance together, each from the message it got.
+    """
+    n = len(scores)
+    width = max(1, math.isqrt(n))
+    blocks = -(-n // width)
+    padded = np.zeros(blocks * width, np.float32)
+    padded[:n] = scores
+    step = np.exp(pairs - pairs.max())
+
+    def emit(t: int) -> np.ndarray:
+        own = padded[t::width].astype(float)
+        value = np.stack([-own / 2, own / 2], 1)
+        return np.exp(value - value.max(1, keepdims=True))
+
+    def unit(x: np.ndarray, axes: tuple[int, ...]) -> np.ndarray:
+        return x / x.sum(axes, keepdims=True)
+
+    # Each block's whole step: from the label before its first line to that of its last.
+    whole = np.broadcast_to(np.eye(2), (blocks, 2, 2))
+    for t in range(width):
+        whole = unit(whole @ step * emit(t)[:, None, :], (1, 2))
+    into = np.empty((blocks, 2))
+    message = np.ones(2)
+    for k in range(blocks):
+        into[k] = message
+        # The first line of all has no label before it.
+        message = unit(message @ whole[k], (0,)) if k else None
+        if k == 0:
+            message = emit(0)[0]
+            for t in range(1, width):
+                message = unit(message @ step * emit(t)[0], (0,))
+    good = np.empty(blocks * width, np.float32)
+    ahead = into
+    for t in range(width):
+        value = ahead @ step * emit(t)
+        if t == 0:
+            value[0] = emit(0)[0]
+        ahead = unit(value, (1,))
+        good[t::width] = ahead[:, 1]
+    # Back: the last block ends with the text; padding behind it takes no part.
+    last = n - (blocks - 1) * width
+    back_into = np.ones((blocks, 2))
+    message = np.ones(2)
+    for k in range(blocks - 1, 0, -1):
+        if k == blocks - 1:
+            for t in range(last - 1, -1, -1):
+                message = unit(step @ (emit(t)[k] * message), (0,))
+        else:
+            message = unit(whole[k] @ message, (0,))
+        back_into[k - 1] = message
+    back = back_into
+    for t in range(width - 1, -1, -1):
+        if t >= last:  # beyond the end of the last block
+            held = back[-1].copy()
+        both = good[t::width].astype(float)
+        yes, no = both * back[:, 1], (1 - both) * back[:, 0]
+        good[t::width] = yes / (yes + no)
+        back = unit((emit(t) * back) @ step.T, (1,))
+        if t >= last:
+            back[-1] = held
+    return good[:n].astype(float)
+
+
+def _score_long(text: bytes, field: Field) -> float:
+    """The quality of one text, whose lines are read in blocks; of a line only a few numbers are kept."""
+    by = [field.weights[k * OWN : (k + 1) * OWN] for k in range(3)]
+    n = text.count(b"\n") + 1
+    mid, ahead, behind = (np.empty(n, np.float32) for _ in by)
+    token, lengths, empty = np.empty(n, np.uint64), np.empty(n, np.int32), np.empty(n, bool)
+    at = line = 0
+    while at <= len(text):
+        end = min(at + SEGMENT, len(text))
+        if end < len(text):
+            cut = text.rfind(b"\n", at, end)
+            cut = text.find(b"\n", end) if cut < at else cut
+            end = len(text) if cut < 0 else cut
+        found = own_of(np.frombuffer(text[at:end] + b"\n", np.uint8))
+        here = slice(line, line + len(found.token))
+        for part, w in zip((mid, ahead, behind), by):
+            part[here] = found.features @ w
+        token[here], lengths[here], empty[here] = found.token, found.lengths, found.empty
+        at, line = end + 1, here.stop
+    again = _repeated(token, np.zeros(len(token), np.int8), empty)
+    for part, w in zip((mid, ahead, behind), by):
+        part += again * w[-1]
+    edges = field.weights[3 * OWN :]
+    scores = mid + edges[0]
+    scores[:-1] += ahead[1:]
+    scores[1:] += behind[:-1]
+    scores[0] += edges[1]
+    scores[-1] += edges[2]
+    del mid, ahead, behind, token, empty
+    return float((_chain_marginals(scores, field.pairs) * lengths).sum() / lengths.sum())
+
+
 def train(lines: Lines, labels: np.ndarray) -> Field:
     """Maximum likelihood with a small penalty; every line has its document's label, every document the
     same weight per line."""
@@ -256,27 +384,35 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Field:
 
 
 def _batches(texts: list[bytes]) -> Iterator[list[bytes]]:
-    part, size = [], 0
+    part, size, lines = [], 0, 0
     for text in texts:
         part.append(text)
         size += len(text) + 1
-        if size >= BLOCK:
+        lines += text.count(b"\n")
+        if size >= BLOCK or lines >= 8 * MANY:
             yield part
-            part, size = [], 0
+            part, size, lines = [], 0, 0
     if part:
         yield part
 
 
 def score(texts: list[bytes | None], field: Field) -> np.ndarray:
     """Quality of each text from 0 to 1."""
-    out = []
-    for part in _batches([t or b"" for t in texts]):
+    texts = [t or b"" for t in texts]
+    out = np.zeros(len(texts))
+    long = np.array([len(t) > BLOCK or t.count(b"\n") > MANY for t in texts], bool)
+    for i in np.flatnonzero(long):
+        out[i] = _score_long(texts[i], field)
+    short = np.flatnonzero(~long)
+    at = 0
+    for part in _batches([texts[i] for i in short]):
         lines = lines_of(part)
         good, _ = _marginals(lines.features @ field.weights, lines.starts, field.pairs)
         weight = np.add.reduceat(lines.lengths, lines.starts)
         value = np.add.reduceat(good * lines.lengths, lines.starts) / weight
-        out.append(np.where([len(t) > 0 for t in part], value, field.prior))
-    return np.clip(np.concatenate(out), 0, 1) if out else np.zeros(0)
+        out[short[at : at + len(part)]] = np.where([len(t) > 0 for t in part], value, field.prior)
+        at += len(part)
+    return np.clip(out, 0, 1)
 
 
 def scorer(spark: SparkSession, field: Field):
