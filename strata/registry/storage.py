@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from strata.functions.dates import partition_parts
 from strata.functions.numeric import rnd
 from strata.operators.runs import row_count_anomaly
 from strata.params import RetentionRule
@@ -26,7 +27,7 @@ from strata.registry.views import (
 )
 from strata.session import scratch_dir
 from strata.sinks.publish import expire_partitions
-from strata.sinks.tables import write_cleaned, write_curated
+from strata.sinks.tables import write_cleaned, write_curated, write_partitioned
 from strata.sources.catalog import open_catalog, register_table
 from strata.sources.files import (
     file_inventory,
@@ -221,24 +222,23 @@ def curated_summary_roundtrip(spark, sf_dir):
 @query(
     "footer_counts",
     f"""WITH {READINGS}, r AS (
-      SELECT date, count(*) AS rows, min(event_id) AS min_event_id, max(event_id) AS max_event_id, min(hour)::int AS min_hour,
+      SELECT source, date, count(*) AS rows, min(event_id) AS min_event_id, max(event_id) AS max_event_id, min(hour)::int AS min_hour,
         max(hour)::int AS max_hour, min(windspeed_kmh) AS min_windspeed_kmh, max(windspeed_kmh) AS max_windspeed_kmh
-      FROM readings GROUP BY date),
+      FROM readings GROUP BY source, date),
     w AS (SELECT *, count(rows) OVER p AS points, avg(rows) OVER p AS mean, stddev_samp(rows) OVER p AS sd FROM r
-      WINDOW p AS (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-    SELECT date::varchar AS date, rows, min_event_id, max_event_id, min_hour, max_hour, min_windspeed_kmh, max_windspeed_kmh, points,
+      WINDOW p AS (PARTITION BY source ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+    SELECT source, date::varchar AS date, rows, min_event_id, max_event_id, min_hour, max_hour, min_windspeed_kmh, max_windspeed_kmh, points,
       {sql_rnd('CASE WHEN points >= 3 THEN abs(rows - mean) / CASE WHEN sd = 0 THEN 1 ELSE sd END END', 4)} AS z
     FROM w""",
 )
 def footers(spark, sf_dir):
-    """Rows and extremes of each day of a layer, and whether its count is unusual, without reading a row."""
-    extremes = ["event_id", "hour", "windspeed_kmh"]
-    counts = footer_counts(spark, cleaned_readings(spark, sf_dir), ["year", "month", "day"], extremes)
-    dated = counts.select(
-        F.make_date("year", "month", "day").alias("date"), F.lit("cleaned").alias("layer"), *[c for c in counts.columns if c not in PARTS]
-    )
-    judged = row_count_anomaly(dated, ["layer"], ["date"], "rows")
-    return judged.select("date", "rows", *[f"{end}_{c}" for c in extremes for end in ("min", "max")], "points", rnd("z", 4).alias("z"))
+    """Rows and extremes of each source and day of a layer, and whether its count is unusual, without reading a row."""
+    path, extremes = scratch_dir(spark, "by-source"), ["event_id", "hour", "windspeed_kmh"]
+    write_partitioned(partition_parts(readings(spark, sf_dir)), path, ["source", *PARTS])
+    counts = footer_counts(spark, path, ["source", *PARTS], extremes)
+    dated = counts.withColumn("date", F.make_date(*PARTS)).drop(*PARTS)
+    judged = row_count_anomaly(dated, ["source"], ["date"], "rows")
+    return judged.select("source", "date", "rows", *[f"{end}_{c}" for c in extremes for end in ("min", "max")], "points", rnd("z", 4).alias("z"))
 
 
 @query(
