@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CELLS = 10_000
+
+#: Most groups whose brackets, some hundred bytes each, are sent to all tasks.
+MOST_GROUPS = 50_000
 Bounds = tuple[float | None, float | None]
 
 
@@ -70,7 +73,8 @@ def exact_quantiles(
     First a sketch brackets the value, leaving a share of about ``8/accuracy`` of a group. Then the
     values in the bracket are counted per cell, of ``CELLS`` equal ones, to find the cell with the
     wanted rank; and only the values of that cell are put in order. A sketch that missed raises an error
-    rather than give a wrong value. One row per group with any value; columns as named.
+    rather than give a wrong value. One row per group with any value; columns as named. The groups are
+    counted first: up to ``MOST_GROUPS`` their brackets are broadcast.
     """
     by = list(by)
     margin = 4 / accuracy
@@ -83,8 +87,9 @@ def exact_quantiles(
         F.percentile_approx("_v", F.array(F.lit(lo_q), F.lit(hi_q)), accuracy).alias("_b"),
         F.count(F.lit(1)).alias("_n"),
     )
-    if by:
-        bracketed = null_safe_join(values, sketch, group)
+    if by:  # few groups' brackets go to the values, which then need no shuffle to meet them
+        few = df.select(*by).distinct().limit(MOST_GROUPS + 1).count() <= MOST_GROUPS
+        bracketed = null_safe_join(values, F.broadcast(sketch) if few else sketch, group)
     else:  # one entry per column: read as a scalar, so the values need no shuffle to meet it
         entry = F.struct("_col", F.struct("_b", "_n"))
         lookup = sketch.agg(F.map_from_entries(F.collect_list(entry))).scalar()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import HOURLY_FORMAT, date_path, folder_of, parse_ts
 from strata.functions.numeric import percent_text, rnd
+from strata.operators import clean
 from strata.operators.clean import (
     approx_quantiles,
     dedup_latest,
@@ -160,3 +161,15 @@ def test_null_groups_are_filled_with_their_own_median(spark):
     filled = impute(df, {"v": 99.0}, exact_quantiles(df, ["v"], by=["g"]), ["g"])
     got = sorted((r.g or "", r.v) for r in filled.collect())
     assert got == [("", 1.0), ("", 1.0), ("", 3.0), ("a", 5.0), ("a", 5.0), ("b", 99.0)]
+
+
+@pytest.mark.parametrize("most", [50_000, 2])
+def test_medians_of_groups_by_broadcast_and_by_join(spark, monkeypatch, most):
+    monkeypatch.setattr(clean, "MOST_GROUPS", most)
+    rows = [(g, float(i * i % 101)) for g in ("a", "b", None) for i in range(40)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = clean.exact_quantiles(df, ["v"], by=["g"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin [coalesce(g" in plan) == (most > 2)
+    want = {g: sorted(v for h, v in rows if h == g)[19] for g in ("a", "b", None)}
+    assert {r.g: r.v for r in found.collect()} == want
