@@ -53,11 +53,11 @@ def alarm_stream(spark, sf_dir):
 
 
 def kept_totals(spark, sf_dir):
-    """Totals of the metric points that a stream got in four portions, each with points of all days."""
+    """Totals of the metric points that a stream got in two portions, each with points of all days."""
     stored, target, checkpoint = (scratch_dir(spark, n) for n in ("metrics", "totals", "totals-state"))
     points = metric_points(spark, sf_dir)
-    for portion in range(4):
-        emit_metrics(points.filter(F.pmod(F.xxhash64("ts", "name"), F.lit(4)) == portion), stored)
+    for portion in range(2):
+        emit_metrics(points.filter(F.pmod(F.xxhash64("ts", "name"), F.lit(2)) == portion), stored)
         stream = spark.readStream.schema(METRIC).parquet(stored)
         keep_totals(running_totals(stream, ALARM_RULES, "40 days"), target, checkpoint)
     spark.catalog.refreshByPath(target)
