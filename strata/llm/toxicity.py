@@ -40,6 +40,9 @@ VOCABULARY, LEAST, RARE = 10_000, 3, 200
 
 ROUNDS, BATCH, RATE, PENALTY, DROPPED = 6, 64, 0.005, 1e-5, 0.2
 
+#: Fewest steps of the fit, which a small sample takes in more rounds.
+STEPS = 200
+
 #: Documents added to both sides of the odds of a word.
 SMOOTHING = 5
 
@@ -95,8 +98,11 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     reach = np.minimum(inside, BEFORE)
     leading = prefixes.of(where - reach, reach + 1) + (inside <= BEFORE).astype(np.uint64)
     leading = (leading * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (LEADING.bit_length() - 1))
+    # Neighbours beyond a word, or beyond a piece of a long run, count as none.
     near = np.concatenate(([0], letters, [0])).astype(np.uint32)
-    mixed = near[where] * NEIGHBOURS[0] + near[where + 1] * NEIGHBOURS[1] + near[where + 2] * NEIGHBOURS[2]
+    before = np.where(inside > 0, near[where], 0).astype(np.uint32)
+    behind = np.where(inside < sizes[word] - 1, near[where + 2], 0).astype(np.uint32)
+    mixed = before * NEIGHBOURS[0] + near[where + 1] * NEIGHBOURS[1] + behind * NEIGHBOURS[2]
     mixed ^= mixed >> np.uint32(15)
     around = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - (AROUND.bit_length() - 1))
     kinds = np.stack([around.astype(np.int64), leading.astype(np.int64) + AROUND], 1).ravel()
@@ -266,6 +272,7 @@ def train(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS, seed: in
     mean = {k: np.zeros_like(w) for k, w in weights.items()}
     square = {k: np.zeros_like(w) for k, w in weights.items()}
     step = 0
+    rounds = max(rounds, -(-STEPS * BATCH // max(1, len(full))))
     for turn in range(rounds):
         rng.shuffle(full)
         for at in range(0, len(full), BATCH):
@@ -338,10 +345,16 @@ def _pieces(text: bytes) -> list[bytes]:
         if last < STRIDE:
             size *= 2  # too few words to get on
             continue
-        out.append(text[at : at + size])
         before = np.cumsum(pieces) - pieces
-        run = int(np.searchsorted(before, last, side="right")) - 1
-        at += int(starts[run] + (last - before[run]) * LONGEST)
+
+        def place(word: int) -> tuple[int, int]:
+            run = int(np.searchsorted(before, word, side="right")) - 1
+            begin = int(starts[run] + (word - before[run]) * LONGEST)
+            return begin, min(begin + LONGEST, int(starts[run] + sizes[run]))
+
+        # Up to the end of its last window, whose beginning begins the next piece.
+        out.append(text[at : at + place(last + WINDOW - 1)[1]])
+        at += place(last)[0]
         size = BLOCK
     return [*out, text[at:]]
 
